@@ -60,7 +60,7 @@ def map_fixed(df: DataFrame, datastreams: DataFrame, ds_id: str, kind: str = "D"
     """Attach one given datastream to all records; an id that doesn't exist is an error of the job."""
     found = datastreams.filter((F.col("kind") == kind) & (F.col("ds_id") == ds_id)).agg(F.count(F.lit(1)))
     # A scalar subquery: one number, evaluated once.
-    exists = found.scalar() == 1
+    exists = found.scalar() >= 1
     checked = F.when(exists, F.lit(ds_id)).otherwise(F.raise_error(F.lit(f"no datastream {kind} {ds_id}")).cast("string"))
     return df.withColumn("kind", F.lit(kind)).withColumn("ds_id", checked)
 

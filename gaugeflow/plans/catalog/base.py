@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 CUT = "2024-01-21"
+REGISTERED = "2024-01-05"
 CORRECTED = "purchase"
 ROWS_PER_FILE = 1_000_000
 
@@ -119,6 +120,7 @@ def with_views(body: str) -> str:
     hourly = _sql_obs("date_trunc('hour', ts)")
     return (
         f"WITH obs AS ({_sql_obs('ts')}), obs_hour AS ({hourly}), "
+        f"registered AS (SELECT DISTINCT ds_id FROM obs WHERE phen_start < TIMESTAMP '{REGISTERED}'), "
         f"stored AS (SELECT * FROM obs WHERE phen_start < TIMESTAMP '{CUT}'), "
         f"stored_hour AS (SELECT * FROM obs_hour WHERE phen_start < TIMESTAMP '{CUT}'), "
         f"incoming AS (SELECT ds_id, phen_start, {fixed}, k, seq FROM obs), "
@@ -151,8 +153,9 @@ SQL_INTERVALS = (
 
 
 def datastreams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known datastreams: those with stored observations."""
-    s = stored(spark, sf_dir).select("ds_id").distinct()
+    """Known datastreams: those with observations before the day they were registered."""
+    early = obs(spark, sf_dir).filter(F.col("phen_start") < F.lit(REGISTERED).cast("timestamp"))
+    s = early.select("ds_id").distinct()
     parts = F.split("ds_id", ":")
     return s.select(
         F.lit("D").alias("kind"),

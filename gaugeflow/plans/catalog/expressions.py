@@ -9,6 +9,7 @@ from gaugeflow.functions import geo, props, templates, times, values
 from gaugeflow.model import RESULT_DECIMAL, result_struct
 from gaugeflow.operators import convert
 from gaugeflow.plans.catalog.base import (
+    REGISTERED,
     SQL_INTERVALS,
     datastreams,
     events_csv,
@@ -467,7 +468,7 @@ def _observations(df: DataFrame) -> DataFrame:
     )
 
 
-_KNOWN = f"(SELECT DISTINCT concat(user_id, ':', event_type) AS ds_id FROM events WHERE ts < TIMESTAMP '2024-01-21')"
+_KNOWN = f"(SELECT DISTINCT concat(user_id, ':', event_type) AS ds_id FROM events WHERE ts < TIMESTAMP '{REGISTERED}')"
 _CONVERTED = f"""
   SELECT k.ds_id, {sql_ts("ts")} AS phen_start,
          'decimal' AS result_kind, round(value, 2) AS result_num,
@@ -550,11 +551,11 @@ def unpivot_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders counted into a wide table by year; absent combinations are ``:``."""
     o = table(spark, sf_dir, "orders")
     years = [str(y) for y in range(1995, 2001)]
-    by_year = o.withColumn("y", F.year("o_orderdate").cast("string"))
-    wide = by_year.groupBy("o_orderstatus", "o_orderpriority").pivot("y", years).count()
+    counts = [F.count_if(F.year("o_orderdate") == int(y)).alias(y) for y in years]
+    wide = o.groupBy("o_orderstatus", "o_orderpriority").agg(*counts)
     wide = wide.select(
         F.concat("o_orderstatus", F.lit(", "), "o_orderpriority").alias("key"),
-        *[F.coalesce(F.col(f"`{y}`").cast("string"), F.lit(":")).alias(f"{y} ") for y in years],
+        *[F.when(F.col(f"`{y}`") > 0, F.col(f"`{y}`").cast("string")).otherwise(":").alias(f"{y} ") for y in years],
     )
     out = convert.unpivot_years(wide, [f"{y} " for y in years], ["unit", "region"])
     return out.select("unit", "region", ts("phen_start").alias("t0"), ts("phen_end").alias("t1"), num("result_num").alias("result_num"))
