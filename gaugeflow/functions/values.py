@@ -14,8 +14,6 @@ from gaugeflow.model import RESULT_DECIMAL
 # What counts as a whole number and as a decimal number in a cell.
 INTEGER = r"^[+-]?[0-9]+$"
 DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-PERCENT_INTEGER = r"^[+-]?[0-9]+%+$"
-PERCENT_DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?%+$"
 
 NUMERIC_KINDS = ("int", "long", "decimal")
 
@@ -32,30 +30,28 @@ def parse_result(cell: Column, percent: str = "reference") -> Column:
     lose their percent sign.
     """
     bare = F.regexp_replace(cell, "%+$", "")
-    whole = cell.rlike(INTEGER)
-    as_int, as_long = cell.try_cast("int"), cell.try_cast("bigint")
+
+    def number_kind(text: Column) -> Column:
+        fraction = F.lit("decimal")
+        whole = F.when(text.try_cast("int").isNotNull(), "int").when(text.try_cast("bigint").isNotNull(), "long")
+        return F.when(text.rlike("[.eE]"), fraction).otherwise(F.coalesce(whole, fraction))
+
+    is_number, has_percent = cell.rlike(DECIMAL), cell.endswith("%")
+    empty = cell.isNull() | (cell == "") | (F.lower(cell) == "null")
     if percent == "numeric":
-        is_percent = cell.rlike(PERCENT_DECIMAL)
-        percent_kind = F.when(~bare.rlike(INTEGER), "decimal").when(bare.try_cast("int").isNotNull(), "int")
-        percent_kind = percent_kind.when(bare.try_cast("bigint").isNotNull(), "long").otherwise("decimal")
+        # A percent sign after any number.
+        percent_kind = F.when(bare.rlike(DECIMAL), number_kind(bare))
     else:
-        is_percent = (
-            cell.rlike(PERCENT_INTEGER) & bare.try_cast("int").isNull() & bare.try_cast("bigint").isNotNull()
-        )
-        percent_kind = F.lit("long")
+        beyond_int = bare.rlike(INTEGER) & bare.try_cast("int").isNull() & bare.try_cast("bigint").isNotNull()
+        percent_kind = F.when(beyond_int, "long")
     kind = (
-        F.when(whole & as_int.isNotNull(), "int")
-        .when(whole & as_long.isNotNull(), "long")
-        .when(cell.rlike(DECIMAL), "decimal")
-        .when((cell == "") | (F.lower(cell) == "null"), F.lit(None))
-        .when(is_percent, percent_kind)
-        .when(cell.isNotNull(), "string")
-    )
-    number = F.when(is_percent, _decimal(bare)).otherwise(_decimal(cell))
-    return F.when(
-        kind.isNotNull(),
-        F.struct(kind.alias("kind"), number.alias("num"), cell.alias("text")),
+        F.when(is_number, number_kind(cell))
+        .when(has_percent, F.coalesce(percent_kind, F.lit("string")))
+        .otherwise("string")
     )
+    percent_number = F.when(percent_kind.isNotNull(), bare.try_cast(RESULT_DECIMAL))
+    number = F.when(is_number, cell.try_cast(RESULT_DECIMAL)).when(has_percent, percent_number)
+    return F.when(~empty, F.struct(kind.alias("kind"), number.alias("num"), cell.alias("text")))
 
 
 def decimal_text(cell: Column, separator: str = "DETECT") -> Column:

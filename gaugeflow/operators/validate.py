@@ -118,8 +118,9 @@ def _attach_stored(incoming: DataFrame, stored: DataFrame) -> DataFrame:
         & (incoming["ds_id"] == s["_s_ds_id"])
         & (incoming["phen_start"] == s["_s_phen_start"])
         & incoming["phen_end"].eqNullSafe(s["_s_phen_end"])
+        & incoming["_valid_row"]
     )
-    # Both sides hold one row per stream and time, so no key is hot here.
+    # Both sides hold one valid row per stream and time, so no key is hot here.
     return incoming.join(s, condition, "left")
 
 
@@ -144,18 +145,9 @@ def _changes(joined: DataFrame, action: Column, reason: Column, columns: Sequenc
     )
 
 
-def _split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    if "reason" not in df.columns:
-        return df, None
-    bad = df.filter(F.col("reason").isNotNull())
-    return accepted(df).drop("reason"), bad
-
-
-def _as_rejects(bad: DataFrame, columns: Sequence[str]) -> DataFrame:
-    rest = [c for c in columns if c not in ("obs_id", "action", "reason")]
-    return bad.select(
-        F.lit("reject").alias("action"), "reason", F.lit(None).cast("string").alias("obs_id"), *rest
-    )
+def _reason(df: DataFrame) -> Column:
+    """The reason earlier validators gave, or NULL."""
+    return F.col("reason") if "reason" in df.columns else F.lit(None).cast("string")
 
 
 def validate_by_time(
@@ -166,26 +158,32 @@ def validate_by_time(
     Rows carrying a ``reason`` from earlier validators become rejects. In a batch the last row of
     a time counts; ``report_superseded`` lists the others as skips.
     """
-    good, bad = _split_rejects(df)
-    columns = good.columns
-    last = batch_dedupe(good)
-    stored = survivors(_stored_since(target, good) if prune else target)
+    columns = df.columns
+    marked = df.withColumn("_reason", _reason(df)).withColumn("_valid_row", F.col("_reason").isNull())
+    # Rejects stay in the same pass: their own number as part of the key keeps each of them.
+    alone = marked.withColumn("_alone", F.when(~F.col("_valid_row"), F.col("seq")))
+    last = keep_one(alone, [*TIME_KEY, "_alone"], F.col("seq").desc()).drop("_alone")
+    stored = survivors(_stored_since(target, df) if prune else target)
     joined = _attach_stored(last, stored)
     same = values.result_equals(result_struct(), F.col("_s_result"))
-    absent = F.col("_s_obs_id").isNull()
-    action = F.when(absent, "insert").when(same, "skip").otherwise("update" if update else "skip")
-    reason = F.when(absent, F.lit(None)).when(same, "Same result").otherwise("Changed result")
+    rejected, absent = ~F.col("_valid_row"), F.col("_s_obs_id").isNull()
+    action = (
+        F.when(rejected, "reject").when(absent, "insert").when(same, "skip").otherwise("update" if update else "skip")
+    )
+    reason = (
+        F.when(rejected, F.col("_reason")).when(absent, F.lit(None)).when(same, "Same result").otherwise("Changed result")
+    )
     out = _changes(joined, action, reason.cast("string"), columns)
     if report_superseded:
-        older = flag_superseded(good).filter("superseded")
-        rest = [c for c in columns if c != "obs_id"]
+        good = marked.filter("_valid_row")
+        rest = [c for c in columns if c not in ("obs_id", "reason")]
         out = out.unionByName(
-            older.select(
+            flag_superseded(good).filter("superseded").select(
                 F.lit("skip").alias("action"), F.lit("Superseded in batch").alias("reason"),
                 F.lit(None).cast("string").alias("obs_id"), *rest,
             )
         )
-    return out if bad is None else out.unionByName(_as_rejects(bad, columns))
+    return out
 
 
 def find_duplicates(target: DataFrame, incoming: DataFrame | None = None) -> DataFrame:
@@ -217,8 +215,7 @@ def validate_by_parameters(
     A record without one of the parameters is rejected. Many records may share one set of
     parameters, so the stored side is reduced to its first row per set before the lookup.
     """
-    good, bad = _split_rejects(df)
-    columns = good.columns
+    columns = df.columns
     names = [n.strip() for n in names]
     params = {f"_p_{i}": F.element_at("parameters", F.lit(n)) for i, n in enumerate(names)}
     keys = [*STREAM_KEY, *params]
@@ -233,15 +230,15 @@ def validate_by_parameters(
         complete = complete & F.col(n).isNotNull()
     stored = keep_one(stored.filter(complete), keys, number.asc_nulls_last(), F.col("obs_id").asc())
     stored = stored.select(*keys, F.col("obs_id").alias("_s_obs_id"))
-    keyed = good.select("*", *[c.alias(n) for n, c in params.items()], complete_flag(params).alias("_complete"))
-    joined = salted_lookup(keyed, stored, keys, spread, null_safe=null_safe)
-    found = F.col("_s_obs_id").isNotNull()
-    action = (
-        F.when(~F.col("_complete"), "reject").when(~found, "insert").otherwise("update" if update else "skip")
+    lacking = F.when(~complete_flag(params), "Missing parameter")
+    keyed = df.select(
+        "*", *[c.alias(n) for n, c in params.items()], F.coalesce(_reason(df), lacking).alias("_reason")
     )
-    reason = F.when(~F.col("_complete"), "Missing parameter").when(found, "Same parameters")
-    out = _changes(joined, action, reason, columns)
-    return out if bad is None else out.unionByName(_as_rejects(bad, columns))
+    joined = salted_lookup(keyed, stored, keys, spread, null_safe=null_safe)
+    rejected, found = F.col("_reason").isNotNull(), F.col("_s_obs_id").isNotNull()
+    action = F.when(rejected, "reject").when(~found, "insert").otherwise("update" if update else "skip")
+    reason = F.when(rejected, F.col("_reason")).when(found, "Same parameters")
+    return _changes(joined, action, reason, columns)
 
 
 def complete_flag(params: dict[str, Column]) -> Column:

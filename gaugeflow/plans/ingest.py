@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import aggregate, apply, convert, lookup, validate
+from gaugeflow.session import stage
 from gaugeflow.sources import records
 
 
@@ -22,8 +23,10 @@ def _records(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
         rows = records.read_records(spark, spec["paths"], **options)
     if spec.get("strip_nulls", True):
         rows = records.strip_nulls(rows, records.data_columns(rows))
-    rows = records.number_lines(rows)
     skip, limit = spec.get("skip", 0), spec.get("limit", 0)
+    if not (spec.get("ordered", True) or skip or limit):
+        return rows.withColumnRenamed("row_id", "seq")
+    rows = records.number_lines(rows)
     return records.limit_rows(records.skip_rows(rows, skip), limit, skip)
 
 
@@ -75,7 +78,9 @@ def run_ingest(
     ``spec``: ``importer`` (scan options, ``converters``, optional ``generate`` texts),
     ``validator`` (list) and ``uploader``. ``tables``: ``datastreams`` and ``observations``.
     Gives ``changes``, ``errors``, ``metrics``, ``generated`` and, unless it is a dry run,
-    ``observations`` (the new table) and ``data_arrays``. Nothing is written by this function.
+    ``observations`` (the new table) and ``data_arrays``. No target is written by this function;
+    unless ``stage`` is false it puts the converted records into the shared staging folder.
+    ``importer.ordered=False`` skips the line numbering when neither lines nor file order matter.
     """
     importer = spec["importer"]
     converted, generated = convert_records(spark, _records(spark, importer), importer, tables)
@@ -86,6 +91,9 @@ def run_ingest(
     rows = rows.withColumn("obs_id", F.lit(None).cast("string"))
     if "result_arr" not in rows.columns:
         rows = rows.withColumn("result_arr", F.lit(None).cast("array<string>"))
+    if spec.get("stage", True):
+        # Parsed once; the time bound, the comparison and the reports below all read this table.
+        rows = stage(rows, "ingest")
     target = tables["observations"]
     last = next((v for v in validators if v["type"] in ("by_time", "by_parameters")), None)
     if last is None:

@@ -109,13 +109,20 @@ def columns_to_arrays(
     return joined.select(*doc, ds_id.alias("ds_id"), "part", values.alias("values")).filter(F.col("ds_id").isNotNull())
 
 
-def _local(*names: str) -> str:
-    """XPath below any ancestor by local names, whatever the prefixes."""
-    return "".join(f"/*[local-name()='{n}']" for n in names)
+# The parts of a SWE data array that are read; prefixes are ignored.
+_UOM = "struct<uom:struct<_href:string>>"
+_SWE_ARRAY = (
+    "elementCount struct<Count:struct<value:int>>, elementType struct<DataRecord:struct<field:array<struct<_name:string,"
+    f"Quantity:{_UOM},QuantityRange:{_UOM},Count:{_UOM},CountRange:{_UOM},Time:{_UOM},TimeRange:{_UOM}>>>>, "
+    "encoding struct<TextEncoding:struct<_decimalSeparator:string,_blockSeparator:string,_tokenSeparator:string>>, "
+    "values string"
+)
 
 
-def _text(xml: Column, path: str) -> Column:
-    return F.xpath_string(xml, F.lit(path))
+def _data_array(xml: Column) -> Column:
+    """The first SWE data array of a response, parsed once."""
+    element = F.regexp_extract(xml, r"(?s)<(?:[\w.-]+:)?DataArray[\s>].*?</(?:[\w.-]+:)?DataArray>", 0)
+    return F.from_xml(element, _SWE_ARRAY, {"ignoreNamespace": "true"})
 
 
 def _separator_class(sep: Column) -> Column:
@@ -132,45 +139,54 @@ def explode_swe(
     Fields are found by name; separators come from the document. A block with a wrong token count
     or unreadable values gives a row with a reject reason.
     """
-    x = F.col(xml)
-    array = "/" + _local("DataArray")
-    encoding = array + _local("encoding", "TextEncoding")
-    fields = array + _local("elementType", "DataRecord", "field")
-    unit = f"{fields}[@name='{value}']//*[local-name()='uom']/@*[local-name()='href']"
     keep = [c for c in df.columns if c != xml]
-    parsed = df.select(
+    arrays = df.select(*keep, _data_array(F.col(xml)).alias("_a"))
+    fields = F.col("_a.elementType.DataRecord.field")
+    encoding = "_a.encoding.TextEncoding"
+    parsed = arrays.select(
         *keep,
-        F.xpath(x, F.lit(f"{fields}/@name")).alias("_names"),
-        _text(x, unit).alias("unit_href"),
-        _text(x, f"{encoding}/@decimalSeparator").alias("_decimal"),
-        _separator_class(_text(x, f"{encoding}/@blockSeparator")).alias("_block"),
-        _separator_class(_text(x, f"{encoding}/@tokenSeparator")).alias("_token"),
-        _text(x, array + _local("values")).alias("_values"),
+        fields["_name"].alias("_names"),
+        F.filter(fields, lambda f: f["_name"] == value)[0].alias("_field"),
+        F.col(f"{encoding}._decimalSeparator").alias("_decimal"),
+        _separator_class(F.col(f"{encoding}._blockSeparator")).alias("_block"),
+        _separator_class(F.col(f"{encoding}._tokenSeparator")).alias("_token"),
+        F.col("_a.values").alias("_values"),
+    )
+    href = F.coalesce(
+        *[F.col(f"_field.{t}.uom._href") for t in ("Quantity", "QuantityRange", "Count", "CountRange", "Time", "TimeRange")],
+        F.lit(""),
     )
     blocks = F.filter(F.split(F.col("_values"), F.col("_block")), lambda b: F.trim(b) != "")
-    rows = parsed.select("*", F.posexplode(blocks).alias("pos", "_text")).withColumn(
-        "_tokens", F.filter(F.split(F.col("_text"), F.col("_token")), lambda t: t != "")
+    rows = parsed.select(
+        *keep, "_names", "_decimal", "_token", href.alias("unit_href"), F.posexplode(blocks).alias("pos", "_text")
     )
+    tokens = F.filter(F.split(F.col("_text"), F.col("_token")), lambda t: t != "")
+    cut = rows.select(*keep, "pos", "_names", "_decimal", "unit_href", tokens.alias("_tokens"))
 
     def token(name: str) -> Column:
         at = F.array_position("_names", F.lit(name)).cast("int")
         return F.trim(F.get(F.col("_tokens"), at - 1))
 
     number = F.replace(token(value), F.col("_decimal"), F.lit("."))
-    first, last = token(start).try_cast("timestamp"), token(end).try_cast("timestamp")
-    result = F.when(number.rlike(DECIMAL), number.try_cast(RESULT_DECIMAL))
+    read = cut.select(
+        *keep, "pos", "unit_href",
+        (F.size("_tokens") != F.size("_names")).alias("_miscounted"),
+        token(start).try_cast("timestamp").alias("phen_start"),
+        token(end).try_cast("timestamp").alias("phen_end"),
+        F.when(number.rlike(DECIMAL), number.try_cast(RESULT_DECIMAL)).alias("result_num"),
+    )
     reject = (
-        F.when(F.size("_tokens") != F.size("_names"), "Wrong number of fields in block")
-        .when(result.isNull(), "Could not parse number")
-        .when(first.isNull() | last.isNull(), "Could not parse time")
-        .when(first > last, "Interval starts after its end")
+        F.when(F.col("_miscounted"), "Wrong number of fields in block")
+        .when(F.col("result_num").isNull(), "Could not parse number")
+        .when(F.col("phen_start").isNull() | F.col("phen_end").isNull(), "Could not parse time")
+        .when(F.col("phen_start") > F.col("phen_end"), "Interval starts after its end")
     )
-    return rows.select(
+    return read.select(
         *keep,
         "pos",
-        first.alias("phen_start"),
-        last.alias("phen_end"),
-        result.alias("result_num"),
+        "phen_start",
+        "phen_end",
+        "result_num",
         "unit_href",
         after_last_slash(F.col("unit_href")).alias("unit_symbol"),
         reject.alias("reject"),
@@ -179,5 +195,6 @@ def explode_swe(
 
 def swe_counts(df: DataFrame, keys: Sequence[str], xml: str = "xml") -> DataFrame:
     """The element count each document states: ``*keys, element_count``."""
-    path = "/" + _local("DataArray", "elementCount", "Count", "value")
-    return df.select(*keys, _text(F.col(xml), path).try_cast("int").alias("element_count"))
+    return df.select(*keys, _data_array(F.col(xml)).alias("_a")).select(
+        *keys, F.col("_a.elementCount.Count.value").alias("element_count")
+    )

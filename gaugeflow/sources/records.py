@@ -78,20 +78,22 @@ def number_lines(records: DataFrame, manifest: DataFrame | None = None) -> DataF
         blocks = blocks.withColumn("file_ord", F.col("src_file"))
     else:
         blocks = blocks.join(manifest.select("src_file", "file_ord"), "src_file", "left")
-    earlier_blocks = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("in_file", F.coalesce(F.sum("n").over(earlier_blocks), F.lit(0)))
-    files = blocks.groupBy("src_file", "file_ord").agg(F.sum("n").alias("file_rows"))
-    earlier_files = Window.orderBy("file_ord", "src_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select(  # one row per file
-        "src_file", F.coalesce(F.sum("file_rows").over(earlier_files), F.lit(0)).alias("before_file")
+    # One row per input split from here on: totals before each split, in its file and overall.
+    in_file = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
+    overall = Window.orderBy("file_ord", "src_file", "src_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(
+        "src_file",
+        "src_block",
+        "first_row",
+        F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("in_file"),
+        F.coalesce(F.sum("n").over(overall), F.lit(0)).alias("overall"),
     )
-    starts = blocks.join(files, "src_file").select("src_file", "src_block", "first_row", "in_file", "before_file")
     numbered = records.join(starts, ["src_file", "src_block"])
-    line = F.col("in_file") + F.col("row_id") - F.col("first_row") + 1
+    inside = F.col("row_id") - F.col("first_row")
     return numbered.select(
         *[quoted(c) for c in records.columns],
-        line.cast("bigint").alias("src_line"),
-        (F.col("before_file") + line - 1).cast("bigint").alias("seq"),
+        (F.col("in_file") + inside + 1).cast("bigint").alias("src_line"),
+        (F.col("overall") + inside).cast("bigint").alias("seq"),
     )
 
 

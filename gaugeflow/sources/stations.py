@@ -12,6 +12,7 @@ from gaugeflow.functions.templates import quoted
 from gaugeflow.functions.values import after_last_slash
 from gaugeflow.model import RESULT_DECIMAL, stable_id
 from gaugeflow.operators.skew import keep_one, salted_lookup
+from gaugeflow.session import stage
 
 # Pollutant code, name, recommended unit, definition.
 POLLUTANTS = [
@@ -46,6 +47,15 @@ JSON_TEXT = [
     "MeasurementType", "AirQualityStationType", "AirQualityStationArea", "EquivalenceDemonstrated",
     "MeasurementEquipment", "InletHeightUnit", "BuilldingDistanceUnit", "KerbDistanceUnit", "SamplingMethod",
 ]
+_JSON_ENTITY_FIELDS = [
+    "AirQualityStationEoICode", "AQStationName", "AssessmentMethodId", "ProcessId", "MeasurementEquipment", "Longitude",
+    "Latitude", "Countrycode", "B2G_Namespace", "AirQualityStationArea", "AirQualityNetwork", "AirQualityNetworkName",
+    "OperationalActivityBegin", "OperationalActivityEnd", "SamplingMethod",
+]
+_ENTITY_FIELDS = [
+    "AirQualityStation", "SamplingProces", "SamplingPoint", "MeasurementEquipment", "Longitude", "Latitude",
+    "Countrycode", "Namespace", "AirQualityStationArea", "ObservationDateBegin", "ObservationDateEnd",
+]
 JSON_NUMBERS = ["Longitude", "Latitude", "Altitude", "InletHeight", "BuildingDistance", "KerbDistance"]
 
 
@@ -156,36 +166,43 @@ def derive_station_entities(joined: DataFrame, unit: Column, metadata: str = "",
         .when(F.coalesce(unit, F.lit("")) == "", "Could not find unit in record")
     )
     checked = with_pollutant(joined, s["AirPollutantCode"]).withColumn("reject", reject)
-    good = checked.filter(F.col("reject").isNull())
+    good = checked.filter(F.col("reject").isNull()).select(
+        F.col(order).alias("seq"), unit.alias("unit"), "op_id", "op_name",
+        *[s[n].alias(n) for n in _ENTITY_FIELDS],
+    )
+    # The records shrink to one per entity combination, computed once for all four results.
+    entities = stage(
+        keep_one(good, ["AirQualityStation", "SamplingProces", "SamplingPoint"], F.col("seq").desc()), "station_entities"
+    )
     base = {
-        "countryCode": s["Countrycode"],
+        "countryCode": F.col("Countrycode"),
         "owner": OWNER,
-        "namespace": s["Namespace"],
+        "namespace": F.col("Namespace"),
         "metadata": metadata,
     }
-    station_id = s["AirQualityStation"]
-    place = {**base, "localId": station_id, "AirQualityStationArea": s["AirQualityStationArea"]}
+    station_id = F.col("AirQualityStation")
+    place = {**base, "localId": station_id, "AirQualityStationArea": F.col("AirQualityStationArea")}
     thing = {
         **place,
         "mediaMonitored": MEDIUM_AIR,
-        "beginTime": s["ObservationDateBegin"],
-        "endTime": F.nullif(s["ObservationDateEnd"], F.lit("")),
+        "beginTime": F.col("ObservationDateBegin"),
+        "endTime": F.nullif("ObservationDateEnd", F.lit("")),
     }
-    flat = good.select(
-        F.col(order).alias("seq"),
+    flat = entities.select(
+        "seq",
         station_id.alias("station_id"),
-        s["SamplingProces"].alias("process_id"),
-        s["SamplingPoint"].alias("point_id"),
-        s["MeasurementEquipment"].alias("equipment"),
-        _six_digits(s["Longitude"]).alias("lon"),
-        _six_digits(s["Latitude"]).alias("lat"),
+        F.col("SamplingProces").alias("process_id"),
+        F.col("SamplingPoint").alias("point_id"),
+        F.col("MeasurementEquipment").alias("equipment"),
+        _six_digits(F.col("Longitude")).alias("lon"),
+        _six_digits(F.col("Latitude")).alias("lat"),
         "op_id",
         "op_name",
-        unit.alias("unit"),
+        "unit",
         props.build_map(place).alias("place_props"),
         props.build_map(thing).alias("thing_props"),
-        props.build_map({**base, "localId": s["SamplingProces"]}).alias("sensor_props"),
-        props.build_map({**base, "localId": s["SamplingPoint"]}).alias("ds_props"),
+        props.build_map({**base, "localId": F.col("SamplingProces")}).alias("sensor_props"),
+        props.build_map({**base, "localId": F.col("SamplingPoint")}).alias("ds_props"),
     )
 
     def once(key: str) -> DataFrame:
@@ -238,30 +255,38 @@ def derive_json_station_entities(joined: DataFrame, metadata: str = "", order: s
         "reject",
         F.when(F.col("station").isNull(), "Station not found").when(F.col("op_id").isNull(), "ObservedProperty not found"),
     )
+    good = checked.filter(F.col("reject").isNull()).select(
+        F.col(order).alias("seq"), "op_id", "op_name", F.trim(quoted(unit_name)).alias("unit"),
+        F.trim("SAMPLINGPOINT_LOCALID").alias("point_id"), *[s[n].alias(n) for n in _JSON_ENTITY_FIELDS],
+    )
+    entities = stage(
+        keep_one(good, ["AirQualityStationEoICode", "AssessmentMethodId", "point_id"], F.col("seq").desc()),
+        "station_entities",
+    )
     base = {
-        "countryCode": s["Countrycode"],
+        "countryCode": F.col("Countrycode"),
         "owner": OWNER,
-        "namespace": s["B2G_Namespace"],
+        "namespace": F.col("B2G_Namespace"),
         "metadata": metadata,
     }
-    code, point = s["AirQualityStationEoICode"], F.trim("SAMPLINGPOINT_LOCALID")
-    place = {**base, "localId": code, "AirQualityStationArea": s["AirQualityStationArea"]}
+    code = F.col("AirQualityStationEoICode")
+    place = {**base, "localId": code, "AirQualityStationArea": F.col("AirQualityStationArea")}
     thing = {
         **place,
-        "AirQualityNetwork": s["AirQualityNetwork"],
-        "AirQualityNetworkName": s["AirQualityNetworkName"],
+        "AirQualityNetwork": F.col("AirQualityNetwork"),
+        "AirQualityNetworkName": F.col("AirQualityNetworkName"),
         "mediaMonitored": MEDIUM_AIR,
-        "beginTime": s["OperationalActivityBegin"],
-        "endTime": F.nullif(s["OperationalActivityEnd"], F.lit("")),
+        "beginTime": F.col("OperationalActivityBegin"),
+        "endTime": F.nullif("OperationalActivityEnd", F.lit("")),
     }
-    sensor = {**base, "localId": s["AssessmentMethodId"], "samplingMethod": s["SamplingMethod"]}
-    flat = checked.filter(F.col("reject").isNull()).select(
-        F.col(order).alias("seq"), code.alias("code"), s["AQStationName"].alias("station_name"),
-        s["AssessmentMethodId"].alias("method_id"), s["ProcessId"].alias("process_id"), point.alias("point_id"),
-        s["MeasurementEquipment"].alias("equipment"), _six_digits(s["Longitude"]).alias("lon"),
-        _six_digits(s["Latitude"]).alias("lat"), "op_id", "op_name", F.trim(quoted(unit_name)).alias("unit"),
+    sensor = {**base, "localId": F.col("AssessmentMethodId"), "samplingMethod": F.col("SamplingMethod")}
+    flat = entities.select(
+        "seq", code.alias("code"), F.col("AQStationName").alias("station_name"), F.col("AssessmentMethodId").alias("method_id"),
+        F.col("ProcessId").alias("process_id"), "point_id", F.col("MeasurementEquipment").alias("equipment"),
+        _six_digits(F.col("Longitude")).alias("lon"), _six_digits(F.col("Latitude")).alias("lat"), "op_id", "op_name", "unit",
         props.build_map(place).alias("place_props"), props.build_map(thing).alias("thing_props"),
-        props.build_map(sensor).alias("sensor_props"), props.build_map(base).alias("ds_props"),
+        props.build_map(sensor).alias("sensor_props"),
+        props.build_map({**base, "localId": F.to_json(F.array("point_id"))}).alias("ds_props"),
     )
 
     def once(key: str) -> DataFrame:
