@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.templates import quoted
@@ -60,6 +60,11 @@ def strip_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     )
 
 
+def _plain_path(column: str) -> Column:
+    """A path in one spelling, whether or not a local one carries its scheme."""
+    return F.regexp_replace(column, "^file:/+", "/")
+
+
 def number_lines(records: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """Add ``src_line`` (1-based, per file) and ``seq`` (0-based, over all files).
 
@@ -77,7 +82,8 @@ def number_lines(records: DataFrame, manifest: DataFrame | None = None) -> DataF
     if manifest is None:
         blocks = blocks.withColumn("file_ord", F.col("src_file"))
     else:
-        blocks = blocks.join(manifest.select("src_file", "file_ord"), "src_file", "left")
+        listed = manifest.select(_plain_path("src_file").alias("_path"), "file_ord")
+        blocks = blocks.withColumn("_path", _plain_path("src_file")).join(listed, "_path", "left").drop("_path")
     # One row per input split from here on: totals before each split, in its file and overall.
     in_file = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
     overall = Window.orderBy("file_ord", "src_file", "src_block").rowsBetween(Window.unboundedPreceding, -1)
