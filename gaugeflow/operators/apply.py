@@ -34,8 +34,10 @@ def apply_changes(target: DataFrame, changes: DataFrame, dry_run: bool = False)
 def write_snapshot(observations: DataFrame, path: str) -> str:
     """Write a table partitioned by day, the column later runs prune by."""
     daily = observations.withColumn("phen_date", F.to_date("phen_start"))
-    # Hashing the id as well spreads a busy day over several files.
-    daily.repartition("phen_date", F.pmod(F.xxhash64("obs_id"), F.lit(8))).write.partitionBy("phen_date").parquet(path)
+    # Rebalancing lets adaptive execution cut a busy day into several files and join quiet days.
+    daily.hint("rebalance", "phen_date").sortWithinPartitions("phen_date", "ds_id", "phen_start").write.partitionBy(
+        "phen_date"
+    ).parquet(path)
     return path
 
 

@@ -125,10 +125,10 @@ def reconcile_multi(
     )
 
 
-def duplicate_map(datastreams: DataFrame, key: Sequence[str], spread: str = "ds_id") -> DataFrame:
-    """``ds_id, main_id``: the lowest id among the datastreams of a key stands for all of them."""
+def with_main_id(datastreams: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Datastreams with ``main_id``: the lowest id of a key stands for all of its datastreams."""
     lowest = datastreams.groupBy(*key).agg(F.min("ds_id").alias("main_id"))
-    return salted_lookup(datastreams, lowest, list(key), spread, null_safe=list(key)).select("ds_id", "main_id")
+    return salted_lookup(datastreams, lowest, list(key), "ds_id", null_safe=list(key))
 
 
 def merge_datastreams(
@@ -139,8 +139,7 @@ def merge_datastreams(
     The canonical datastream gets ``name`` and ``local_id`` added to its list; the others are
     deleted and their observations re-pointed. ``name``/``local_id`` are over the datastream's row.
     """
-    mapping = duplicate_map(datastreams, key)
-    joined = datastreams.join(mapping, "ds_id")
+    joined = with_main_id(datastreams, key)
     is_main = F.col("ds_id") == F.col("main_id")
     ids = props.append_local_id(F.col("local_ids"), local_id)
     differs = (name != F.col("name")) | (ids != F.coalesce("local_ids", F.array().cast("array<string>")))
@@ -151,7 +150,7 @@ def merge_datastreams(
         F.when(is_main, name).otherwise(F.col("name")).alias("name"),
         F.when(is_main, ids).otherwise(F.col("local_ids")).alias("local_ids"),
     )
-    moved_ids = mapping.filter(F.col("ds_id") != F.col("main_id"))
+    moved_ids = joined.filter(F.col("ds_id") != F.col("main_id")).select("ds_id", "main_id")
     moved = salted_lookup(observations, moved_ids, ["ds_id"], "obs_id", how="inner")
     rest = [c for c in observations.columns if c != "ds_id"]
     updates = moved.select(

@@ -102,26 +102,34 @@ def _stored_since(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.filter(F.col("phen_start") >= incoming.agg(F.min("phen_start")).scalar())
 
 
-def survivors(target: DataFrame) -> DataFrame:
-    """One stored observation per stream and time: the one with the highest id."""
-    return keep_one(target, TIME_KEY, *_id_order("obs_id"))
+def _with_end_key(df: DataFrame) -> DataFrame:
+    """Add ``_end``, the interval end as a number that is never NULL (instants get their own).
+
+    Windows and the join then share plain equality keys, hence one shuffle per side.
+    """
+    return df.withColumn("_end", F.coalesce(F.unix_micros("phen_end"), F.lit(-(1 << 63))))
+
+
+_MATCH = ["kind", "ds_id", "phen_start", "_end"]
 
 
-def _attach_stored(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def survivors(target: DataFrame, version: str | None = None) -> DataFrame:
+    """One stored observation per stream and time: the newest version, then the highest id."""
+    order = ([F.col(version).desc()] if version else []) + _id_order("obs_id")
+    return keep_one(_with_end_key(target), _MATCH, *order)
+
+
+def _attach_stored(last: DataFrame, stored: DataFrame) -> DataFrame:
     s = stored.select(
-        *[F.col(k).alias(f"_s_{k}") for k in TIME_KEY],
+        *[F.col(k).alias(f"_s_{k}") for k in _MATCH],
         F.col("obs_id").alias("_s_obs_id"),
         result_struct().alias("_s_result"),
     )
-    condition = (
-        (incoming["kind"] == s["_s_kind"])
-        & (incoming["ds_id"] == s["_s_ds_id"])
-        & (incoming["phen_start"] == s["_s_phen_start"])
-        & incoming["phen_end"].eqNullSafe(s["_s_phen_end"])
-        & incoming["_valid_row"]
-    )
-    # Both sides hold one valid row per stream and time, so no key is hot here.
-    return incoming.join(s, condition, "left")
+    condition = F.lit(True)
+    for k in _MATCH:
+        condition = condition & (last[k] == s[f"_s_{k}"])
+    # Both sides hold one row per stream and time, so no key is hot here.
+    return last.join(s, condition, "left")
 
 
 def new_obs_id() -> Column:
@@ -150,32 +158,39 @@ def _reason(df: DataFrame) -> Column:
     return F.col("reason") if "reason" in df.columns else F.lit(None).cast("string")
 
 
+def _rejects(df: DataFrame) -> DataFrame:
+    rest = [c for c in df.columns if c not in ("obs_id", "action", "reason")]
+    return df.filter(F.col("reason").isNotNull()).select(
+        F.lit("reject").alias("action"), "reason", F.lit(None).cast("string").alias("obs_id"), *rest
+    )
+
+
 def validate_by_time(
-    df: DataFrame, target: DataFrame, update: bool = True, prune: bool = True, report_superseded: bool = False
+    df: DataFrame,
+    target: DataFrame,
+    update: bool = True,
+    prune: bool = True,
+    report_superseded: bool = False,
+    version: str | None = None,
 ) -> DataFrame:
     """Change rows by stream and time: insert what is new, update what differs, skip what is equal.
 
-    Rows carrying a ``reason`` from earlier validators become rejects. In a batch the last row of
-    a time counts; ``report_superseded`` lists the others as skips.
+    Rows carrying a ``reason`` from earlier validators become rejects; they are read off the input
+    on their own, so it pays to have it staged. In a batch the last row of a time counts;
+    ``report_superseded`` lists the others as skips. ``version`` names a target column by which
+    several stored versions of an observation are ordered.
     """
     columns = df.columns
-    marked = df.withColumn("_reason", _reason(df)).withColumn("_valid_row", F.col("_reason").isNull())
-    # Rejects stay in the same pass: their own number as part of the key keeps each of them.
-    alone = marked.withColumn("_alone", F.when(~F.col("_valid_row"), F.col("seq")))
-    last = keep_one(alone, [*TIME_KEY, "_alone"], F.col("seq").desc()).drop("_alone")
-    stored = survivors(_stored_since(target, df) if prune else target)
+    good = accepted(df).drop("reason") if "reason" in columns else df
+    last = keep_one(_with_end_key(good), _MATCH, F.col("seq").desc())
+    stored = survivors(_stored_since(target, good) if prune else target, version)
     joined = _attach_stored(last, stored)
     same = values.result_equals(result_struct(), F.col("_s_result"))
-    rejected, absent = ~F.col("_valid_row"), F.col("_s_obs_id").isNull()
-    action = (
-        F.when(rejected, "reject").when(absent, "insert").when(same, "skip").otherwise("update" if update else "skip")
-    )
-    reason = (
-        F.when(rejected, F.col("_reason")).when(absent, F.lit(None)).when(same, "Same result").otherwise("Changed result")
-    )
+    absent = F.col("_s_obs_id").isNull()
+    action = F.when(absent, "insert").when(same, "skip").otherwise("update" if update else "skip")
+    reason = F.when(absent, F.lit(None)).when(same, "Same result").otherwise("Changed result")
     out = _changes(joined, action, reason.cast("string"), columns)
     if report_superseded:
-        good = marked.filter("_valid_row")
         rest = [c for c in columns if c not in ("obs_id", "reason")]
         out = out.unionByName(
             flag_superseded(good).filter("superseded").select(
@@ -183,7 +198,7 @@ def validate_by_time(
                 F.lit(None).cast("string").alias("obs_id"), *rest,
             )
         )
-    return out
+    return out.unionByName(_rejects(df)) if "reason" in columns else out
 
 
 def find_duplicates(target: DataFrame, incoming: DataFrame | None = None) -> DataFrame:

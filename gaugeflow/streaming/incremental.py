@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,21 +18,32 @@ def _log(table_dir: str) -> str:
     return f"{table_dir.rstrip('/')}/log"
 
 
-def current(spark: SparkSession, table_dir: str, base: DataFrame | None = None, before: int | None = None) -> DataFrame:
-    """The observations as of now, or as a given batch saw them: the newest version of each id.
+def _versions(spark: SparkSession, table_dir: str, base: DataFrame | None, before: int | None, since=None) -> DataFrame:
+    """All versions of the observations that a batch may look at, with the ``batch`` that wrote them.
 
-    The log holds only what each batch inserted or updated, so a batch costs what it changes and not
-    the size of the table.
+    ``since`` prunes by time where the files are read: by day in a snapshot, by row group in the log.
     """
     empty = spark.createDataFrame([], OBSERVATIONS)
-    versions = (observations(base) if base is not None else empty).withColumn("batch", F.lit(-1).cast("bigint"))
+    held = empty if base is None else base
+    if since is not None and "phen_date" in held.columns:
+        held = held.filter(F.col("phen_date") >= F.to_date(F.lit(since)))
+    versions = observations(held).withColumn("batch", F.lit(-1).cast("bigint"))
     if before is None or before > 0:
         log = spark.read.schema(f"{OBSERVATIONS}, batch bigint").option("basePath", _log(table_dir))
         written = log.parquet(_log(table_dir))
         if before is not None:
             written = written.filter(F.col("batch") < before)
         versions = versions.unionByName(written)
-    return keep_one(versions, ["obs_id"], F.col("batch").desc()).drop("batch")
+    return versions if since is None else versions.filter(F.col("phen_start") >= F.lit(since))
+
+
+def current(spark: SparkSession, table_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """The observations as of now: the newest version of each id.
+
+    The log holds only what each batch inserted or updated, so a batch costs what it changes and not
+    the size of the table. ``compact`` folds it into a snapshot.
+    """
+    return keep_one(_versions(spark, table_dir, base, None), ["obs_id"], F.col("batch").desc()).drop("batch")
 
 
 def run_incremental(
@@ -56,11 +68,18 @@ def run_incremental(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        stored = current(session, table_dir, base, before=batch_id)
-        changes = validate_by_time(observations(to_observations(batch)), stored, update)
+        incoming = observations(to_observations(batch)).persist(StorageLevel.DISK_ONLY)
+        # An update keeps its time, so versions before the batch's first time can't matter.
+        since = incoming.agg(F.min("phen_start")).first()[0]
+        if since is None:  # nothing to compare: still leave the batch's (empty) log entry
+            incoming.write.mode("overwrite").parquet(f"{_log(table_dir)}/batch={batch_id}")
+            incoming.unpersist()
+            return
+        stored = _versions(batch.sparkSession, table_dir, base, batch_id, since)
+        changes = validate_by_time(incoming, stored, update, prune=False, version="batch")
         kept = observations(changes.filter(F.col("action").isin("insert", "update")))
-        kept.write.mode("overwrite").parquet(f"{_log(table_dir)}/batch={batch_id}")
+        kept.sortWithinPartitions("phen_start").write.mode("overwrite").parquet(f"{_log(table_dir)}/batch={batch_id}")
+        incoming.unpersist()
 
     query = (
         reader.load(source_dir)
