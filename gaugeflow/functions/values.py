@@ -32,9 +32,12 @@ def parse_result(cell: Column, percent: str = "reference") -> Column:
     bare = F.regexp_replace(cell, "%+$", "")
 
     def number_kind(text: Column) -> Column:
-        fraction = F.lit("decimal")
-        whole = F.when(text.try_cast("int").isNotNull(), "int").when(text.try_cast("bigint").isNotNull(), "long")
-        return F.when(text.rlike("[.eE]"), fraction).otherwise(F.coalesce(whole, fraction))
+        # Ranges instead of casts: a cast that fails is an exception per row.
+        number = text.try_cast(RESULT_DECIMAL)
+        whole = F.when(number.between(-(1 << 31), (1 << 31) - 1), "int").when(
+            number.between(F.lit(-(1 << 63)), F.lit((1 << 63) - 1)), "long"
+        )
+        return F.when(text.rlike("[.eE]"), "decimal").otherwise(F.coalesce(whole, F.lit("decimal")))
 
     is_number, has_percent = cell.rlike(DECIMAL), cell.endswith("%")
     empty = cell.isNull() | (cell == "") | (F.lower(cell) == "null")
@@ -42,8 +45,7 @@ def parse_result(cell: Column, percent: str = "reference") -> Column:
         # A percent sign after any number.
         percent_kind = F.when(bare.rlike(DECIMAL), number_kind(bare))
     else:
-        beyond_int = bare.rlike(INTEGER) & bare.try_cast("int").isNull() & bare.try_cast("bigint").isNotNull()
-        percent_kind = F.when(beyond_int, "long")
+        percent_kind = F.when(bare.rlike(INTEGER), F.nullif(F.nullif(number_kind(bare), F.lit("int")), F.lit("decimal")))
     kind = (
         F.when(is_number, number_kind(cell))
         .when(has_percent, F.coalesce(percent_kind, F.lit("string")))

@@ -24,6 +24,7 @@ from gaugeflow.plans.catalog.base import (
     ts,
     with_views,
 )
+from gaugeflow.session import spread
 from gaugeflow.sources import records
 
 _SECOND = sql_ts("date_trunc('second', ts)")
@@ -501,7 +502,7 @@ _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _measure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     return li.select(
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("data"),
         *[F.col(m).cast("decimal(18,2)").cast("string").alias(m) for m in _MEASURES],

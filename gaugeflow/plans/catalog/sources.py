@@ -16,6 +16,7 @@ from gaugeflow.plans.catalog.base import (
     table,
     ts,
 )
+from gaugeflow.session import spread
 from gaugeflow.sources import documents, features, manifest, records, stations
 
 _EVENT_SQL = f"SELECT event_id, {sql_ts('ts')} AS ts, user_id, event_type, value, props"
@@ -241,7 +242,7 @@ def column_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _swe_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A data array of two blocks per order, with comma decimals."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
     def block(i: int):
@@ -284,7 +285,7 @@ def swe_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_text(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> str:
-    return staged(spark, sf_dir, name, lambda path: df.write.text(path))
+    return staged(spark, sf_dir, name, lambda path: spread(df, "value").write.text(path))
 
 
 _NS = (

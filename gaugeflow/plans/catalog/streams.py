@@ -82,7 +82,8 @@ def _flagship_files(spark: SparkSession, sf_dir: str) -> str:
             F.expr(_UNIT).alias("UNIT"), local(start).alias("DATETIME_BEGIN"),
             local(start + F.make_dt_interval(F.lit(0), hours)).alias("DATETIME_END"), "event_id",
         )
-        rows.repartitionByRange("event_id").sortWithinPartitions("event_id").write.option("header", True).csv(path)
+        files = max(spark.sparkContext.defaultParallelism, 1)
+        rows.repartitionByRange(files, "event_id").sortWithinPartitions("event_id").write.option("header", True).csv(path)
 
     return staged(spark, sf_dir, "flagship_csv", write)
 

@@ -59,6 +59,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a small input as many partitions as there are cores, for steps that compute a lot per row.
+
+    Inputs with enough partitions, hence all large ones, are left as they are: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps use and read it back.
 

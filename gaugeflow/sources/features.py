@@ -63,7 +63,8 @@ def read_features(spark: SparkSession, paths: str | list[str], tag: str, schema:
     opening = F.regexp_extract("value", rf"(?s)<{re.escape(tag)}[\s>].*", 0)
     elements = pieces.select(opening.alias("element")).filter(F.col("element") != "")
     whole = F.concat("element", F.lit(f"</{tag}>"))
-    return elements.select(F.from_xml(whole, schema, {"ignoreNamespace": "true"}).alias("f")).select("f.*")
+    # A generator, so that filters on the fields stay above it and each piece is parsed once.
+    return elements.select(F.inline(F.array(F.from_xml(whole, schema, {"ignoreNamespace": "true"}))))
 
 
 def _text(path: str) -> Column:
