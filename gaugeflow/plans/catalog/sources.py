@@ -284,6 +284,25 @@ def swe_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "response_features",
+    """SELECT o_orderkey, CASE WHEN s_suppkey IS NOT NULL THEN concat('f-', s_suppkey) END AS foi_id,
+              CASE WHEN s_suppkey IS NULL THEN 'FeatureOfInterest not found' END AS response_reject
+       FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey""",
+)
+def response_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses name the supplier of the order's customer number as their feature, which may not exist."""
+    owner = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("owner"))
+    head = F.concat(F.lit('<om:featureOfInterest xlink:href="http://x.example/SAM.'), "owner", F.lit('"/>'))
+    docs = _swe_docs(spark, sf_dir).join(owner, "o_orderkey").withColumn("xml", F.concat(head, "xml"))
+    key = F.col("s_suppkey").cast("string")
+    foi = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("SAM."), key).alias("local_id"), F.concat(F.lit("f-"), key).alias("foi_id")
+    )
+    out = documents.attach_feature(docs, foi, "owner", spread="o_orderkey")
+    return out.select("o_orderkey", "foi_id", "response_reject")
+
+
 def _write_text(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> str:
     return staged(spark, sf_dir, name, lambda path: spread(df, "value").write.text(path))
 

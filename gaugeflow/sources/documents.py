@@ -11,7 +11,7 @@ from gaugeflow.functions.props import json_walk
 from gaugeflow.functions.templates import quoted
 from gaugeflow.functions.values import DECIMAL, after_last_slash
 from gaugeflow.model import RESULT_DECIMAL
-from gaugeflow.operators.skew import keep_one, positions
+from gaugeflow.operators.skew import keep_one, positions, salted_lookup
 
 Parser = Callable[[Column], Column]
 
@@ -198,3 +198,26 @@ def swe_counts(df: DataFrame, keys: Sequence[str], xml: str = "xml") -> DataFram
     return df.select(*keys, _data_array(F.col(xml)).alias("_a")).select(
         *keys, F.col("_a.elementCount.Count.value").alias("element_count")
     )
+
+
+# Where a response names its feature of interest and its sampling point.
+_FEATURE_HREF = r"""(?s)<(?:[\w.-]+:)?featureOfInterest\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+_POINT_HREF = (
+    r"""(?s)<(?:[\w.-]+:)?name\b[^>]*?\bhref\s*=\s*["'][^"']*/processparameter/SamplingPoint["'][^>]*>.*?"""
+    r"""<(?:[\w.-]+:)?value\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+)
+
+
+def attach_feature(df: DataFrame, features: DataFrame, expected: str, xml: str = "xml", spread: str = "seq") -> DataFrame:
+    """Responses with ``foi_id``, ``response_reject`` and ``point_differs``.
+
+    ``features`` has ``local_id`` (unique) and ``foi_id``. A response without a known feature of
+    interest gives no observations; one for another sampling point than ``expected`` is flagged.
+    """
+    local_id = after_last_slash(F.regexp_extract(xml, _FEATURE_HREF, 1))
+    point = F.regexp_extract(xml, _POINT_HREF, 1)
+    named = df.withColumn("_foi", local_id).withColumn("point_differs", ~point.endswith(F.col(expected)))
+    known = features.select(F.col("local_id").alias("_foi"), "foi_id")
+    joined = salted_lookup(named, known, ["_foi"], spread)
+    reject = F.when(F.col("foi_id").isNull(), "FeatureOfInterest not found")
+    return joined.drop("_foi").withColumn("response_reject", reject)

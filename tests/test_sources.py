@@ -114,6 +114,23 @@ def test_swe(spark):
     assert documents.swe_counts(df, ["id"]).first()["element_count"] == 4
 
 
+def test_feature_of_a_response(spark):
+    point = (
+        '<om:parameter><om:NamedValue><om:name xlink:href="http://v.example/aq/processparameter/SamplingPoint"/>'
+        '<om:value xlink:href="http://x.example/SPO.1"/></om:NamedValue></om:parameter>'
+    )
+    feature = "<om:featureOfInterest xlink:href='http://x.example/{}'/>"
+    df = spark.createDataFrame(
+        [(1, "SPO.1", point + feature.format("SAM.1")), (2, "SPO.2", point + feature.format("SAM.9")), (3, "SPO.1", point)],
+        "seq long, ds string, xml string",
+    )
+    foi = spark.createDataFrame([("SAM.1", "f1")], "local_id string, foi_id string")
+    out = {r["seq"]: r for r in documents.attach_feature(df, foi, "ds").collect()}
+    assert (out[1]["foi_id"], out[1]["response_reject"], out[1]["point_differs"]) == ("f1", None, False)
+    assert out[2]["response_reject"] == "FeatureOfInterest not found" and out[2]["point_differs"]
+    assert out[3]["response_reject"] == "FeatureOfInterest not found"
+
+
 def test_json_documents(spark):
     docs = [
         ("g", 0, '{"rows":[{"T":"2024-01-01T00:00:00Z","V":1},{"T":"2024-01-02T00:00:00Z","V":2},{"T":"2024-01-01T00:00:00Z","V":3}]}'),
