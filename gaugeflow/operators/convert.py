@@ -274,9 +274,10 @@ def unpivot_years(
     """
     id_col = id_col or df.columns[0]
     parts = F.split(quoted(id_col), separator)
+    cells = F.array(*[F.struct(F.lit(y).alias("year"), quoted(y).cast("string").alias("cell")) for y in years])
     long = df.select(
-        *[F.trim(F.get(parts, F.lit(i))).alias(n) for i, n in enumerate(id_parts)], *[quoted(y) for y in years]
-    ).unpivot(list(id_parts), list(years), "year", "cell")
+        *[F.trim(F.get(parts, F.lit(i))).alias(n) for i, n in enumerate(id_parts)], F.explode(cells).alias("c")
+    ).select(*id_parts, "c.*")
     year = F.regexp_extract("year", r"([0-9]{4})", 1).try_cast("int")
 
     def first_day(y: Column) -> Column:
