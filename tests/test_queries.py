@@ -8,9 +8,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from gaugeflow.plans.catalog import load
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = load()
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +34,8 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["action", "reason", "ds_id", "phen_start", "result_num"]
     assert df.count() > 0
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
