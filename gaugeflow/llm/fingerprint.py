@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 PRIME = (1 << 31) - 1
 BASES = (911_382_323 % PRIME, 972_663_749 % PRIME)
-WINDOW = 24
+WINDOW = 12
 SLOTS = 64
 _POWERS: dict[int, np.ndarray] = {}
 

@@ -7,8 +7,8 @@ estimate is beyond ``cutoff`` times the group's median distance in units of the
 
 * Statistics are stored as whole thousandths, so sums of them and of their products are exact and don't
   depend on the order in which tasks finish: reruns agree.
-* The nearest half is found by counting distances in fixed logarithmic bins per group (one row per group and
-  bin), not by sorting a group.
+* The nearest half is found from sums per fixed logarithmic distance bin (one row per group and bin), not by
+  sorting a group.
 * ``FLOORS`` is added to the diagonal of each scatter. It keeps groups of equal or few documents regular:
   a statistic that is constant in the half still tolerates small departures.
 
@@ -31,12 +31,12 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 STATS = ("length", "word_length", "symbols", "dup_lines", "repeats")
-FLOORS = (0.15, 0.08, 0.25, 0.15, 0.15)  # standard deviations, in transformed units
+FLOORS = (0.8, 0.12, 0.5, 0.6, 0.8)  # standard deviations, in transformed units
 SCALE = 1000  # whole thousandths
-STEPS = 4
+STEPS = 3
 CUTOFF = 41.0  # five statistics: chi-square beyond one in ten million
 CHI2_MEDIAN = 4.351  # median of chi-square with five degrees of freedom
-BINS_PER_UNIT = 32
+BINS_PER_UNIT = 16
 
 
 def repeated_words(hashes: Column) -> Column:
@@ -106,22 +106,37 @@ def transformed() -> list[Column]:
     return [F.round(v * SCALE).cast("bigint").alias(f"x{i}") for i, v in enumerate(values)]
 
 
-def _moments(df: DataFrame) -> DataFrame:
-    """Mean and scatter per group, the floors added; one partial aggregation."""
+def _pairs() -> list[tuple[int, int]]:
+    return [(i, j) for i in range(len(STATS)) for j in range(i, len(STATS))]
+
+
+def _nearest_half(df: DataFrame) -> DataFrame:
+    """Mean and scatter of the nearest half per group, the floors added.
+
+    Sums are kept per distance bin, so one aggregation over the documents serves to find the half and to sum it.
+    """
     k = range(len(STATS))
-    pairs = [(i, j) for i in k for j in k if i <= j]
-    sums = df.groupBy("lang", "source").agg(
+    bins = df.groupBy("lang", "source", "bin").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(f"x{i}").alias(f"s{i}") for i in k],
-        *[F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(20,0)")).alias(f"p{i}{j}") for i, j in pairs],
+        *[F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(20,0)")).alias(f"p{i}{j}") for i, j in _pairs()],
     )
+    names = ["n", *[f"s{i}" for i in k], *[f"p{i}{j}" for i, j in _pairs()]]
+    sums = _upto_half(bins, "n").groupBy("lang", "source").agg(*[F.sum(c).alias(c) for c in names])
     n = F.col("n").cast("double")
-    mean = [F.col(f"s{i}") / n for i in k]
     cov = []
-    for i, j in pairs:
+    for i, j in _pairs():
         c = (F.col(f"p{i}{j}").cast("double") - F.col(f"s{i}").cast("double") * F.col(f"s{j}").cast("double") / n) / n
         cov.append((c + (FLOORS[i] * SCALE) ** 2 if i == j else c).alias(f"c{i}{j}"))
-    return sums.select("lang", "source", *[m.alias(f"m{i}") for i, m in enumerate(mean)], *cov)
+    return sums.select("lang", "source", *[(F.col(f"s{i}") / n).alias(f"m{i}") for i in k], *cov)
+
+
+def _upto_half(bins: DataFrame, count: str) -> DataFrame:
+    """Bins of each group up to the one that completes half of its documents."""
+    group = Window.partitionBy("lang", "source")
+    before = F.sum(count).over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    counted = bins.select("*", F.coalesce(before, F.lit(0)).alias("_before"), F.sum(count).over(group).alias("_all"))
+    return counted.filter(F.col("_before") * 2 < F.col("_all")).drop("_before", "_all")
 
 
 def _start(df: DataFrame) -> DataFrame:
@@ -158,15 +173,15 @@ def _factor(moments: DataFrame) -> DataFrame:
     k = range(len(STATS))
     df = moments
     for j in k:
-        d = F.col(f"c{j}{j}")
+        d, below = F.col(f"c{j}{j}"), {}
         for t in range(j):
             d = d - F.col(f"l{j}{t}") * F.col(f"l{j}{t}")
-        df = df.withColumn(f"r{j}", 1 / F.sqrt(d))
         for i in range(j + 1, len(STATS)):
             c = F.col(f"c{j}{i}")
             for t in range(j):
                 c = c - F.col(f"l{i}{t}") * F.col(f"l{j}{t}")
-            df = df.withColumn(f"l{i}{j}", c * F.col(f"r{j}"))
+            below[f"l{i}{j}"] = c / F.sqrt(d)
+        df = df.withColumns({f"r{j}": 1 / F.sqrt(d)} | below)
     lower = [f"l{i}{j}" for i in k for j in range(i)]
     return df.select("lang", "source", *[f"m{i}" for i in k], *[f"r{i}" for i in k], *lower)
 
@@ -186,15 +201,6 @@ def _distance(df: DataFrame, estimates: DataFrame) -> DataFrame:
     return joined.withColumn("d2", total).drop(*names, *[f"z{i}" for i in range(len(STATS))])
 
 
-def _half(df: DataFrame) -> DataFrame:
-    """Per group the distance bin that completes the nearest half."""
-    bins = df.groupBy("lang", "source", "bin").agg(F.count(F.lit(1)).alias("c"))
-    group = Window.partitionBy("lang", "source")
-    upto = F.sum("c").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    counted = bins.select("*", upto.alias("upto"), F.sum("c").over(group).alias("all"))
-    return counted.filter(F.col("upto") * 2 >= F.col("all")).groupBy("lang", "source").agg(F.min("bin").alias("half"))
-
-
 def outliers(df: DataFrame, steps: int = STEPS, cutoff: float = CUTOFF) -> DataFrame:
     """``df`` of statistics with base_failed, and ``distance`` and ``kept`` by the robust estimates."""
     rows = with_base(df).withColumn("_salt_by", F.xxhash64("doc_id", "n_words", "word_chars"))
@@ -204,11 +210,10 @@ def outliers(df: DataFrame, steps: int = STEPS, cutoff: float = CUTOFF) -> DataF
     estimates = stage(_factor(_start(judged)), "quality-start")
     for _ in range(steps):
         near = _distance(judged, estimates).select("*", bin_of)
-        half = _half(near)
-        core = salted_lookup(near, half, ["lang", "source"], spread="_salt_by", null_safe=["lang", "source"])
-        estimates = stage(_factor(_moments(core.filter(F.col("bin") <= F.col("half")))), "quality-estimates")
-    scored = _distance(judged, estimates).select("lang", "source", bin_of)
-    scale = _half(scored).select("lang", "source", (F.pow(2.0, (F.col("half") + 1) / BINS_PER_UNIT) / CHI2_MEDIAN).alias("_scale"))
+        estimates = stage(_factor(_nearest_half(near)), "quality-estimates")
+    bins = _distance(judged, estimates).groupBy("lang", "source", bin_of).agg(F.count(F.lit(1)).alias("n"))
+    half = _upto_half(bins, "n").groupBy("lang", "source").agg(F.max("bin").alias("half"))
+    scale = half.select("lang", "source", (F.pow(2.0, (F.col("half") + 1) / BINS_PER_UNIT) / CHI2_MEDIAN).alias("_scale"))
     final = estimates.join(
         scale.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "_scale"),
         F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")),

@@ -8,9 +8,10 @@ member, picked by a hash of the id, from all rows outside the held-out fold). It
 
 where R+ and R- are mean losses of calling a row toxic or clean; when the second term turns negative its
 gradient is reversed. ``prior`` is the share of toxic rows among all labelled rows outside the held-out fold.
-Features are the words of a text in lower case and their first four and five letters, each present or not; a
-member keeps those found in enough of its positives. The averaged weights, at most ``vocabulary`` per member,
-go to all tasks, which score every whole text.
+Features are the words of a text in lower case, and their first four and five letters with the number of different
+words that begin so (one, two, three or more), each present or not; a member keeps those found in enough of its
+positives and clearly more often than in unlabelled text. The averaged weights, at most ``VOCABULARY`` per member, go
+to all tasks, which score every whole text.
 
 Defined results: null and empty texts get the score of a text without features; without any positive the score
 is 0 for all; labels of unknown documents, null labels and repeated labels are harmless; every row is scored on
@@ -35,6 +36,7 @@ POSITIVES = 3000
 UNLABELLED = 4000
 MEMBERS = 3
 VOCABULARY = 20_000
+LEAST_SHARE, LIFT = 0.015, 4.0  # a feature is in that share of positives, so many times as often as in other text
 MAX_FEATURE = 40  # code points of a word that can become a feature
 STEPS = 120
 RATE = 0.1
@@ -44,8 +46,13 @@ TOKEN = re.compile(r"\w+")
 
 
 def features(text: str | None) -> set[str]:
+    """Words, and beginnings of four and five letters that one, two or three different words have."""
     found = {w for w in TOKEN.findall((text or "").lower()) if len(w) <= MAX_FEATURE}
-    return found | {w[:5] + "+" for w in found if len(w) > 5} | {w[:4] + "+" for w in found if len(w) > 4}
+    begun = Counter(w[:4] for w in found if len(w) > 4)
+    begun.update(w[:5] for w in found if len(w) > 5)
+    for p, n in begun.items():
+        found.update(f"{p}+{k}" for k in range(1, min(n, 3) + 1))
+    return found
 
 
 def sigmoid(x):
@@ -81,8 +88,10 @@ def _member(table: pa.Table, prior: float) -> pa.Table:
     out = {"member": [], "feature": [], "weight": []}
     if positive.any() and not positive.all():
         seen = Counter(f for s, y in zip(sets, positive, strict=True) if y for f in s)
-        least = max(2, int(0.004 * positive.sum()))
-        vocabulary = sorted((f for f, n in seen.items() if n >= least), key=lambda f: (-seen[f], f))[:VOCABULARY]
+        usual = Counter(f for s, y in zip(sets, positive, strict=True) if not y for f in s if f in seen)
+        n, m = int(positive.sum()), int((~positive).sum())
+        telling = [f for f, k in seen.items() if k >= max(3, LEAST_SHARE * n) and k * m >= LIFT * n * usual[f]]
+        vocabulary = sorted(telling, key=lambda f: (-seen[f], f))[:VOCABULARY]
         at = {f: i for i, f in enumerate(vocabulary)}
         rows = [np.array(sorted(at[f] for f in s if f in at), dtype=np.int64) for s in sets]
         w, bias = nnpu(rows, positive, len(vocabulary), prior)
