@@ -15,7 +15,8 @@ then sets outside the posting's largest component with ``PIVOTS`` members of tha
 sets still in different components. Pairs within a component are not compared again: a group of near copies costs
 about its size, and no link between different components is missed. Components come from alternating stars.
 
-Verification compares whole sets (intersections in the JVM); they are computed only for sets in candidate pairs.
+Verification compares whole sets. Pairs are gathered in cells of at most about ``CELL_PAIRS`` pairs that share
+sets, and a set is computed and sent once per cell that needs it.
 
 Defined results: null text, and text without a word, has the empty set, links with nothing and is its own
 component; with one to four words the whole sequence is the only shingle; rows with equal id and text link as
@@ -45,6 +46,8 @@ FLUSH = 1 << 22  # tokens a task holds before it sends their counts
 SEGMENT = 1 << 20  # bytes hashed at once
 SMALL = 8
 PIVOTS = 16
+HEAVY_SALTS = 64
+CELL_PAIRS = 512
 SENT_IDS = 500_000  # ids that are broadcast; beyond, the texts are shuffled
 ROW_COST, PAIR_COST, VERIFY_COST = 1.0, 1.0, 20.0
 
@@ -222,29 +225,33 @@ def postings(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = heavy.value
+        sent: set[int] = set()  # copies in one task are sent once
         for batch in batches:
             tokens, often, nodes = [], [], []
             for text in batch.column(0).to_pylist():
                 own = shingles(text)
-                if len(own):
+                node = set_hash(own)
+                if len(own) and node not in sent:
+                    sent.add(node)
                     half, is_heavy, match = prefix(own, known, frequency)
                     tokens.append(half.view(np.int32))
                     often.append(is_heavy)
-                    nodes.append(np.full(len(half), set_hash(own) | (match - 1), dtype=np.int64))
+                    nodes.append(np.full(len(half), node | (match - 1), dtype=np.int64))
             if nodes:
                 columns = [np.concatenate(tokens), np.concatenate(often), np.concatenate(nodes)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "heavy", "node"])
 
     rows = docs.select("text").mapInArrow(run, "token int, heavy boolean, node bigint")
-    same = Window.partitionBy("token")
-    light = rows.filter(~F.col("heavy")).select(
+    # A frequent token is held by more than one set anyway, so its sets may be dealt to several tasks.
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("node"), F.lit(HEAVY_SALTS))).otherwise(0)
+    same = Window.partitionBy("token", "salt")
+    seen = rows.withColumn("salt", salt).select(
         "token",
         "node",
         F.lag("node").over(same.orderBy("node")).alias("before"),
-        (F.min("node").over(same) != F.max("node").over(same)).alias("shared"),
+        (F.col("heavy") | (F.min("node").over(same) != F.max("node").over(same))).alias("shared"),
     )
-    light = light.filter(F.col("shared") & ~F.col("before").eqNullSafe(F.col("node"))).select("token", "node")
-    return light.unionByName(rows.filter("heavy").select("token", "node").distinct())
+    return seen.filter(F.col("shared") & ~F.col("before").eqNullSafe(F.col("node"))).select("token", "node")
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
@@ -289,6 +296,21 @@ def connected(edges: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _linked(sets: pa.Table, pairs: pa.Table) -> pa.Table:
+    """The pairs of one cell whose sets reach the similarity."""
+    tokens = dict(zip(sets.column("node").to_pylist(), sets.column("tokens").to_pylist(), strict=True))
+    held = {node: np.frombuffer(data, dtype=np.uint64) for node, data in tokens.items()}
+    out = []
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        x, y = sorted((held[a], held[b]), key=len)
+        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        common = int((y[at] == x).sum())
+        if 100 * common >= LEAST_PERCENT * (len(x) + len(y) - common):
+            out.append((a, b))
+    columns = list(zip(*out, strict=True)) or [[], []]
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+
 class _Verifier:
     """Keeps the verified links of candidate pairs; sets are computed for the texts that need them."""
 
@@ -300,23 +322,23 @@ class _Verifier:
         self.sizes = stage(self.sizes, "jaccard-classes")
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
-        involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = self.sizes.join(involved, "node").select("rep.doc_id", "rep.key", "node")
-        wanted = stage(wanted, "jaccard-wanted").select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("node").alias("of"))
-        if wanted.count() <= SENT_IDS:
-            wanted = F.broadcast(wanted)
+        """(g, block, node, tokens): the sets that the pairs of each cell need."""
+        ends = pairs.select("g", "block", F.col("a").alias("node")).unionByName(pairs.select("g", "block", F.col("b").alias("node")))
+        cells = ends.groupBy("node").agg(F.collect_set(F.struct("g", "block")).alias("cells"))
+        wanted = stage(self.sizes.join(cells, "node").select("rep.doc_id", "rep.key", "node", "cells"), "jaccard-wanted")
+        few = wanted.count() <= SENT_IDS
+        wanted = wanted.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "node", "cells")
         rows = self.docs.withColumn("key", text_key(F.col("text"))).join(
-            wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))
-        ).select("of", "text")
+            F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))
+        ).select("node", "cells", "text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                flat = np.concatenate([*sets, np.zeros(0, dtype=np.int64)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["of", "tokens"])
+                sets = [shingles(t).view(np.int64).tobytes() for t in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["node", "cells", "tokens"])
 
-        return stage(rows.mapInArrow(run, "of bigint, tokens array<bigint>"), "jaccard-sets")
+        hashed = rows.mapInArrow(run, "node bigint, cells array<struct<g:bigint,block:bigint>>, tokens binary")
+        return hashed.select(F.explode("cells").alias("c"), "node", "tokens").select("c.g", "c.block", "node", "tokens")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes, low bits clear, that reach the similarity."""
@@ -326,13 +348,15 @@ class _Verifier:
         sized = sized.join(size("a"), F.col("a") == F.col("_a")).join(size("b"), F.col("b") == F.col("_b"))
         fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * LEAST_PERCENT
         sized = stage(sized.filter(fits).select("a", "b", "n_a", "n_b"), "jaccard-pairs")
-        sets = self._sets(sized).dropDuplicates(["of"])
-        left = sets.select(F.col("of").alias("_a"), F.col("tokens").alias("t_a"))
-        right = sets.select(F.col("of").alias("_b"), F.col("tokens").alias("t_b"))
-        both = sized.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
-        common = F.size(F.array_intersect("t_a", "t_b"))
-        both = both.select("a", "b", "n_a", "n_b", common.alias("common"))
-        return stage(both.filter("100 * common >= %d * (n_a + n_b - common)" % LEAST_PERCENT).select("a", "b"), "jaccard-links")
+        # Pairs that share sets meet in one cell: by the smallest partner of one end, in blocks of the other.
+        turned = sized.select("a", "b").unionByName(sized.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = turned.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("g")).select(F.col("a").alias("_a"), "g")
+        placed = salted_lookup(sized.withColumn("_a", F.col("a")), low, ["_a"], spread="b", how="inner").drop("_a")
+        counts = placed.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CELL_PAIRS).cast("bigint").alias("blocks"))
+        placed = salted_lookup(placed, counts, ["g"], spread="b", how="inner")
+        placed = stage(placed.select("g", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "a", "b"), "jaccard-cells")
+        cells = self._sets(placed).groupBy("g", "block").cogroup(placed.groupBy("g", "block"))
+        return stage(cells.applyInArrow(_linked, "a bigint, b bigint"), "jaccard-links")
 
 
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
