@@ -93,7 +93,7 @@ def mix(docs: DataFrame, seed: str = SEED, **rules) -> DataFrame:
     per_bucket = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_n"))
     earlier = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     words_in = F.floor(F.col("target") + 0.5).cast("bigint")
-    whole = F.when(F.col("source_size") > 0, F.floor(words_in / F.col("source_size"))).otherwise(0).cast("bigint")
+    whole = F.when(F.col("source_size") > 0, F.floor(words_in / F.greatest(F.col("source_size"), F.lit(1)))).otherwise(0).cast("bigint")
     starts = per_bucket.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     starts = starts.join(goal.withColumnRenamed("source", "_g"), F.col("source").eqNullSafe(F.col("_g"))).select(
         F.col("source").alias("_s"),
@@ -133,8 +133,9 @@ def apply_mix(docs: DataFrame, **rules) -> DataFrame:
     rows = docs.withColumn("_key", text_key(F.col("text"))).join(
         taken.filter("_taken > 0"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
     )
-    whole = F.floor(F.col("_taken") / F.col("_size")).cast("int")
-    rest = (F.col("_taken") % F.col("_size")).cast("int")
+    size = F.greatest(F.col("_size"), F.lit(1))
+    whole = F.floor(F.col("_taken") / size).cast("int")
+    rest = (F.col("_taken") % size).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.filter(F.array(rest), lambda r: r > 0))
     out = rows.withColumn("_cut", F.explode(copies))
     cut = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), SPACE_RUN), 1, F.col("_cut")), " ")

@@ -95,7 +95,7 @@ def with_base(df: DataFrame) -> DataFrame:
 
 def transformed() -> list[Column]:
     """The statistics as they are judged: logarithms of counts and rates, in whole thousandths."""
-    n = F.col("n_words").cast("double")
+    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     values = (
         F.log1p(n),
         F.log1p(F.col("word_chars") / n),
