@@ -263,7 +263,7 @@ def test_secrets(docs, spark):
         f"-----BEGIN PRIVATE KEY-----\n{base64.b64encode(der).decode()}\n-----END PRIVATE KEY-----", None, "",
     ]
     got = [r for r in sorted(secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect())]
-    assert got[0].spans == "assign:2:23" and got[1].spans == "" and got[2].n_access == 1
+    assert got[0].spans == "assign:2:22" and got[1].spans == "" and got[2].n_access == 1
     assert got[3].spans == "assign:0:40,hex:8:40"
     kinds = [{s.split(":")[0] for s in r.spans.split(",") if s} for r in got]
     assert kinds[4] == {"der"} and kinds[5] == {"hex", "der"} and kinds[6] == {"jwt"} and kinds[7] == set() and kinds[8] == {"nested"} and kinds[9] == {"der"}
