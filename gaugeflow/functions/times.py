@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 # ISO instant with offset, epoch seconds, ISO duration.
 ISO_ZONED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}(:[0-9]{2})?)(\[[^\]]+\])?$"
-EPOCH_SECONDS = r"^[+-]?[0-9]{1,12}$"
+EPOCH_SECONDS = r"^[+-]?[0-9]+$"
+EPOCH_LIMIT = (1 << 63) // 1_000_000 - 1  # a timestamp holds that many seconds either side of 1970
 ISO_DURATION = re.compile(
     r"([+-])?P(?:(\d+)Y)?(?:(\d+)M)?(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+(?:\.\d+)?)S)?)?"
 )
@@ -46,7 +47,9 @@ def parse_iso(cell: Column) -> Column:
 
 
 def parse_epoch(cell: Column) -> Column:
-    return F.when(cell.rlike(EPOCH_SECONDS), F.timestamp_seconds(cell.try_cast("bigint")))
+    """Whole seconds since 1970, as far as a timestamp reaches; NULL beyond that."""
+    seconds = F.when(cell.rlike(EPOCH_SECONDS), cell.try_cast("bigint"))
+    return F.when(seconds.between(-EPOCH_LIMIT, EPOCH_LIMIT), F.timestamp_seconds(seconds))
 
 
 def parse_time_ladder(cell: Column, pattern: str | None = None, zone: str = "UTC") -> Column:

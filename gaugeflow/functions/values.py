@@ -139,9 +139,28 @@ def drop_missing(df: DataFrame, column: str, equals: str | None = None, regex: s
     return df.filter(~is_missing(quoted(column), equals, regex))
 
 
+def _plain(number: Column) -> Column:
+    """Number text without plus sign, needless zeros and a bare decimal point."""
+    bare = F.regexp_replace(F.trim(number), r"^\+", "")
+    bare = F.regexp_replace(bare, r"^(-?)0+(?=[0-9])", "$1")
+    bare = F.regexp_replace(bare, r"(\.[0-9]*?)0+$", "$1")
+    return F.regexp_replace(F.regexp_replace(bare, r"\.$", ""), r"^(-?)(?=\.)", "$10")
+
+
+def _same_digits(a: Column, b: Column) -> Column:
+    """False where numbers differ only in digits that RESULT_DECIMAL drops; unknown text doesn't count.
+
+    Texts with an exponent compare as doubles, others digit by digit.
+    """
+    finer = r"\.[0-9]{12}[0-9]*[1-9]|[eE]-"
+    exponent = a.rlike("[eE]") | b.rlike("[eE]")
+    exact = F.when(exponent, a.try_cast("double") == b.try_cast("double")).otherwise(_plain(a) == _plain(b))
+    return F.coalesce(F.when(a.rlike(finer) | b.rlike(finer), exact), F.lit(True))
+
+
 def _loose_text_equal(a: Column, b: Column) -> Column:
     both = a.rlike(DECIMAL) & b.rlike(DECIMAL)
-    numbers = F.coalesce(a.try_cast(RESULT_DECIMAL) == b.try_cast(RESULT_DECIMAL), a == b)
+    numbers = F.coalesce(a.try_cast(RESULT_DECIMAL) == b.try_cast(RESULT_DECIMAL), a == b) & _same_digits(a, b)
     return F.when(both, numbers).otherwise(a.eqNullSafe(b))
 
 
@@ -152,6 +171,7 @@ def result_equals(a: Column, b: Column) -> Column:
     """
     numeric = a["kind"].isin(*NUMERIC_KINDS) & b["kind"].isin(*NUMERIC_KINDS)
     same_number = F.coalesce(a["num"] == b["num"], a["text"] == b["text"], F.lit(False))
+    same_number = same_number & _same_digits(a["text"], b["text"])
     arrays = (a["kind"] == "array") & (b["kind"] == "array")
     same_array = (F.size(a["arr"]) == F.size(b["arr"])) & F.forall(
         F.zip_with(a["arr"], b["arr"], _loose_text_equal), lambda x: x

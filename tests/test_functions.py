@@ -90,9 +90,21 @@ def test_result_equals(values):
     assert same(_result("string", None, "a"), _result("string", None, "a"))
     assert same(_result("array", arr=["1", "x", None]), _result("array", arr=["1.0", "x", None]))
     assert not same(_result("array", arr=["1"]), _result("array", arr=["1", "2"]))
+    assert not same(_result("decimal", "0", "0.0000000000001"), _result("decimal", "0", "0.0000000000002"))
+    assert same(_result("decimal", "0", "+00.00000000000010"), _result("decimal", "0", ".0000000000001"))
+    assert same(_result("decimal", "0", "1e-13"), _result("decimal", "0", "0.0000000000001"))
+    assert not same(_result("decimal", "0", "1e-13"), _result("decimal", "0", "2e-13"))
+    assert not same(_result("array", arr=["0.0000000000001"]), _result("array", arr=["0.0000000000002"]))
     assert same(_result(None), _result(None)) and not same(_result(None), _result("int", "1", "1"))
 
 
+def test_epoch_range(values):
+    assert values(times.parse_epoch(F.col("x")).cast("bigint"), x="9223372036853") == 9223372036853
+    assert values(times.parse_epoch(F.col("x")).cast("bigint"), x="-1000000000000") == -1000000000000
+    assert values(times.parse_epoch(F.col("x")).cast("bigint"), x="99999999999999") is None
+    assert values(times.parse_epoch(F.col("x")).cast("bigint"), x="9" * 30) is None
+
+
 def test_camel_case(values):
     assert values(v.camel_case(F.col("x")), x="AIR__quality_STATION") == "airQualityStation"
 
