@@ -126,8 +126,14 @@ def reconcile_multi(
 
 
 def with_main_id(datastreams: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Datastreams with ``main_id``: the lowest id of a key stands for all of its datastreams."""
-    lowest = datastreams.groupBy(*key).agg(F.min("ds_id").alias("main_id"))
+    """Datastreams with ``main_id``: the lowest id of a key stands for all of its datastreams.
+
+    Ids that are numbers compare as numbers and come before others.
+    """
+    number = F.col("ds_id").cast("string").try_cast("decimal(38,0)")
+    rank = F.struct(number.isNull().alias("is_text"), number.alias("n"), F.col("ds_id").alias("id"))
+    lowest = datastreams.groupBy(*key).agg(F.min(F.when(F.col("ds_id").isNotNull(), rank)).alias("_low"))
+    lowest = lowest.select(*key, F.col("_low.id").alias("main_id"))
     return salted_lookup(datastreams, lowest, list(key), "ds_id", null_safe=list(key))
 
 

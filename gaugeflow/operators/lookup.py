@@ -159,8 +159,9 @@ def match_by_name(src: DataFrame, tgt: DataFrame, src_id: str, tgt_id: str, spre
 
 
 def entity_index(df: DataFrame, by: str, order: str) -> DataFrame:
-    """One entity per key, the last one wins; entities without that key are left out."""
-    return keep_one(df.filter(F.col(by).isNotNull()), [by], F.col(order).desc())
+    """One entity per key, the last one wins, numbers by value and after texts; entities without that key are left out."""
+    number = F.col(order).cast("string").try_cast("decimal(38,0)")
+    return keep_one(df.filter(F.col(by).isNotNull()), [by], number.desc_nulls_last(), F.col(order).desc())
 
 
 def match_suffix(

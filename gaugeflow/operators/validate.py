@@ -99,7 +99,10 @@ def _stored_since(target: DataFrame, incoming: DataFrame) -> DataFrame:
 
     The bound is a scalar subquery over the batch, so it reaches the target's scan as a pushed filter.
     """
-    return target.filter(F.col("phen_start") >= incoming.agg(F.min("phen_start")).scalar())
+    since = incoming.agg(F.min("phen_start")).scalar()
+    kept = target.filter(F.col("phen_start") >= since)
+    # Tables written by day have that column: whole days are left out before any file is opened.
+    return kept.filter(F.col("phen_date") >= F.to_date(since)) if "phen_date" in target.columns else kept
 
 
 def _with_end_key(df: DataFrame) -> DataFrame:
@@ -137,7 +140,9 @@ def new_obs_id() -> Column:
     return stable_id(*TIME_KEY)
 
 
-def _changes(joined: DataFrame, action: Column, reason: Column, columns: Sequence[str]) -> DataFrame:
+def _changes(
+    joined: DataFrame, action: Column, reason: Column, columns: Sequence[str], new_id: Column | None = None
+) -> DataFrame:
     rest = [c for c in columns if c not in ("obs_id", "action", "reason")]
     return (
         joined.withColumn("action", action)
@@ -145,7 +150,7 @@ def _changes(joined: DataFrame, action: Column, reason: Column, columns: Sequenc
         .select(
             "action",
             "reason",
-            F.when(F.col("action") == "insert", new_obs_id())
+            F.when(F.col("action") == "insert", new_obs_id() if new_id is None else new_id)
             .when(F.col("action") != "reject", F.col("_s_obs_id").cast("string"))
             .alias("obs_id"),
             *rest,
@@ -228,7 +233,9 @@ def validate_by_parameters(
     """Change rows by the values of named parameters: insert, or skip/update the first stored match.
 
     A record without one of the parameters is rejected. Many records may share one set of
-    parameters, so the stored side is reduced to its first row per set before the lookup.
+    parameters, so the stored side is reduced to its first row per set before the lookup. Of several
+    updates of one stored row the last by ``seq`` counts, the others are skips. Ids of inserts come from
+    time, parameters and ``seq``, as several records may share a time.
     """
     columns = df.columns
     names = [n.strip() for n in names]
@@ -250,10 +257,16 @@ def validate_by_parameters(
         "*", *[c.alias(n) for n, c in params.items()], F.coalesce(_reason(df), lacking).alias("_reason")
     )
     joined = salted_lookup(keyed, stored, keys, spread, null_safe=null_safe)
+    late = F.lit(False)
+    if update:
+        last = joined.filter(F.col("_reason").isNull() & F.col("_s_obs_id").isNotNull())
+        last = last.groupBy("_s_obs_id").agg(F.max("seq").alias("_last"))
+        joined = salted_lookup(joined, last, ["_s_obs_id"], spread)
+        late = F.coalesce(F.col("seq") < F.col("_last"), F.lit(False))
     rejected, found = F.col("_reason").isNotNull(), F.col("_s_obs_id").isNotNull()
-    action = F.when(rejected, "reject").when(~found, "insert").otherwise("update" if update else "skip")
-    reason = F.when(rejected, F.col("_reason")).when(found, "Same parameters")
-    return _changes(joined, action, reason, columns)
+    action = F.when(rejected, "reject").when(~found, "insert").when(late, "skip").otherwise("update" if update else "skip")
+    reason = F.when(rejected, F.col("_reason")).when(late, "Superseded in batch").when(found, "Same parameters")
+    return _changes(joined, action, reason, columns, stable_id(*TIME_KEY, *params, "seq"))
 
 
 def complete_flag(params: dict[str, Column]) -> Column:

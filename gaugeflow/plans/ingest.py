@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.templates import template
+from gaugeflow.model import TIME_KEY, stable_id
 from gaugeflow.operators import aggregate, apply, convert, lookup, validate
 from gaugeflow.session import stage
 from gaugeflow.sources import records
@@ -96,7 +97,9 @@ def run_ingest(
     target = tables["observations"]
     last = next((v for v in validators if v["type"] in ("by_time", "by_parameters")), None)
     if last is None:
-        ids = F.when(F.col("reason").isNull(), validate.new_obs_id())
+        # Nothing makes the time a key here, so the record itself is part of the id.
+        source = [c for c in ("src_file", "seq") if c in rows.columns]
+        ids = F.when(F.col("reason").isNull(), stable_id(*TIME_KEY, *source))
         action = F.when(F.col("reason").isNull(), "insert").otherwise("reject")
         changes = rows.withColumn("action", action).withColumn("obs_id", ids)
     elif last["type"] == "by_time":

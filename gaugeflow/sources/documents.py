@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.props import json_walk
 from gaugeflow.functions.templates import quoted
+from gaugeflow.functions.times import parse_iso
 from gaugeflow.functions.values import DECIMAL, after_last_slash
 from gaugeflow.model import RESULT_DECIMAL
 from gaugeflow.operators.skew import keep_one, positions, salted_lookup
@@ -137,7 +138,8 @@ def explode_swe(
     ``pos, phen_start, phen_end, result_num, unit_href, unit_symbol, reject``.
 
     Fields are found by name; separators come from the document. A block with a wrong token count
-    or unreadable values gives a row with a reject reason.
+    or unreadable values gives a row with a reject reason, and so does a response without a readable array
+    (its ``pos`` is NULL). Times are ISO with an offset.
     """
     keep = [c for c in df.columns if c != xml]
     arrays = df.select(*keep, _data_array(F.col(xml)).alias("_a"))
@@ -158,7 +160,7 @@ def explode_swe(
     )
     blocks = F.filter(F.split(F.col("_values"), F.col("_block")), lambda b: F.trim(b) != "")
     rows = parsed.select(
-        *keep, "_names", "_decimal", "_token", href.alias("unit_href"), F.posexplode(blocks).alias("pos", "_text")
+        *keep, "_names", "_decimal", "_token", href.alias("unit_href"), F.posexplode_outer(blocks).alias("pos", "_text")
     )
     tokens = F.filter(F.split(F.col("_text"), F.col("_token")), lambda t: t != "")
     cut = rows.select(*keep, "pos", "_names", "_decimal", "unit_href", tokens.alias("_tokens"))
@@ -171,12 +173,13 @@ def explode_swe(
     read = cut.select(
         *keep, "pos", "unit_href",
         (F.size("_tokens") != F.size("_names")).alias("_miscounted"),
-        token(start).try_cast("timestamp").alias("phen_start"),
-        token(end).try_cast("timestamp").alias("phen_end"),
+        parse_iso(token(start)).alias("phen_start"),
+        parse_iso(token(end)).alias("phen_end"),
         F.when(number.rlike(DECIMAL), number.try_cast(RESULT_DECIMAL)).alias("result_num"),
     )
     reject = (
-        F.when(F.col("_miscounted"), "Wrong number of fields in block")
+        F.when(F.col("pos").isNull(), "No readable data array")
+        .when(F.col("_miscounted"), "Wrong number of fields in block")
         .when(F.col("result_num").isNull(), "Could not parse number")
         .when(F.col("phen_start").isNull() | F.col("phen_end").isNull(), "Could not parse time")
         .when(F.col("phen_start") > F.col("phen_end"), "Interval starts after its end")

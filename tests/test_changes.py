@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal
 from functools import partial
 
@@ -174,3 +175,51 @@ def test_snapshot_round_trip(spark):
     path = apply.write_snapshot(stored(spark, SF).drop("parameters"), staging_path(spark, "snapshot"))
     back = spark.read.parquet(path)
     assert back.count() == stored(spark, SF).count() and "phen_date" in back.columns
+
+
+def test_an_update_keeps_what_it_does_not_set(spark):
+    target = frame(spark, ("a", 1, 2, "1", 5, {"k": "v"}, 0), ("b", 1, None, "2", 6, None, 1), ("c", 1, None, "3", 7, None, 2))
+    target = target.withColumns({"foi_id": F.lit("f"), "phen_date": F.to_date("phen_start")})
+    changes = frame(spark, ("a", 3, None, "1", 8, None, 0), ("a", 4, None, "1", 9, None, 1), ("b", 1, None, "2", 0, None, 2), ("d", 5, None, "n", 4, None, 3))
+    action = F.when(F.col("ds_id") == "b", "delete").when(F.col("ds_id") == "d", "insert").otherwise("update")
+    out = {r["obs_id"]: r for r in apply.apply_changes(target, changes.withColumn("action", action)).collect()}
+    assert sorted(out) == ["1", "3", "n"]
+    one = out["1"]
+    assert (one["foi_id"], one["parameters"], float(one["result_num"]), one["phen_start"].day, one["phen_end"]) == ("f", {"k": "v"}, 9.0, 4, None)
+    assert one["phen_date"] == dt.date(2024, 1, 4) and out["n"]["phen_date"] == dt.date(2024, 1, 5) and out["n"]["foi_id"] is None
+    assert out["3"]["foi_id"] == "f" and float(out["3"]["result_num"]) == 7.0
+
+
+def test_ids_stay_unique_by_parameters(spark):
+    target = frame(spark, ("a", 1, None, "1", 5, {"f": "x"}, 0))
+    new = frame(spark, ("a", 5, None, None, 1, {"f": "x"}, 0), ("a", 6, None, None, 2, {"f": "x"}, 1), ("a", 7, None, None, 3, {"f": "y"}, 2), ("a", 7, None, None, 4, {"f": "z"}, 3))
+    changes = validate.validate_by_parameters(new, target, ["f"], update=True)
+    assert sorted((r["action"], r["reason"] or "") for r in changes.collect()) == [
+        ("insert", ""), ("insert", ""), ("skip", "Superseded in batch"), ("update", "Same parameters"),
+    ]
+    table = apply.apply_changes(target, changes)
+    assert table.count() == table.select("obs_id").distinct().count() == 3
+
+
+def test_stored_days_before_the_batch_are_not_opened(spark, tmp_path):
+    target = frame(spark, *[("a", d, None, str(d), d, {}, d) for d in range(1, 11)])
+    held = spark.read.parquet(apply.write_snapshot(target, str(tmp_path / "t")))
+    out = validate.validate_by_time(frame(spark, ("a", 9, None, None, 0, {}, 0)), held)
+    assert actions(out) == [("a", 9, "update", "9")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(phen_date" in plan
+
+
+def test_upload_batches_hold_json_values(spark):
+    rows = frame(spark, ("a", 1, None, None, 1.5, {"k": 'a"b'}, 0), ("b", 1, None, None, 2, None, 1), ("c", 1, None, None, 3, None, 2))
+    rows = rows.withColumn("result_arr", F.when(F.col("ds_id") == "b", F.array(F.lit("1"), F.lit(None), F.lit("x"))))
+    text = F.col("ds_id") == "c"
+    rows = rows.withColumn("result_num", F.when(~text, F.col("result_num"))).withColumn("result_text", F.when(text, 'q"r').otherwise(F.col("result_text")))
+    out = {r["ds_id"]: json.loads(r["data_array"]) for r in apply.to_data_arrays(rows, 10).collect()}
+    assert out["a"] == [[1.5, "2024-01-01T00:00:00.000000Z", {"k": 'a"b'}]]
+    assert out["b"][0][0] == [1, None, "x"] and out["c"][0][0] == 'q"r'
+
+
+def test_lowest_id_is_numeric(spark):
+    df = spark.createDataFrame([("9", "k"), ("10", "k"), ("x", "k")], "ds_id string, name string")
+    assert {r["main_id"] for r in entities.with_main_id(df, ["name"]).collect()} == {"9"}

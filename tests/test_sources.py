@@ -206,3 +206,10 @@ def test_custom_python_converter(spark):
 
     df = spark.createDataFrame([(1, 4.0), (2, 6.0)], "seq long, v double")
     assert sorted(tuple(r) for r in convert.convert_batches(df, halves, "seq long, v double").collect()) == [(1, 2.0), (1, 2.0), (2, 3.0), (2, 3.0)]
+
+
+def test_swe_without_an_array_is_a_reject(spark):
+    df = spark.createDataFrame([("d", "<r/>"), ("e", SWE.replace("2024-01-01T00:00:00Z", "12:00"))], "id string, xml string")
+    rows = documents.explode_swe(df).orderBy("id", "pos").collect()
+    assert (rows[0]["pos"], rows[0]["reject"]) == (None, "No readable data array")
+    assert rows[1]["reject"] == "Could not parse time"
