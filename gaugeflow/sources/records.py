@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,6 +29,7 @@ def read_records(
 
     Cells are never NULL: an empty cell is ``''``. Files are split over tasks; ``multiline`` reads
     quoted line breaks but gives each file to one task, and UTF-16 needs it as well.
+    With ``header`` each file's own first line names its cells; columns a file lacks are ``''`` there.
     ``src_block``/``row_id`` give the order inside a file; ``number_lines`` turns them into lines.
     """
     reader = (
@@ -39,13 +42,47 @@ def read_records(
     )
     if comment:
         reader = reader.option("comment", comment[0])
-    records = reader.csv([paths] if isinstance(paths, str) else list(paths))
-    return records.select(
-        *[F.coalesce(quoted(c), F.lit("")).alias(c) for c in records.columns],
-        F.col("_metadata.file_path").alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("row_id"),
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    scans = []
+    for group in _by_header(spark, paths, comment) if header else [paths]:
+        scan = reader.csv(group)
+        cells = [F.coalesce(quoted(c), F.lit("")).alias(c.removeprefix("\ufeff")) for c in scan.columns]
+        scans.append(
+            scan.select(
+                *cells, F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_block_start").alias("src_block")
+            )
+        )
+    records = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
+    if len(scans) > 1:
+        records = records.select(
+            *[F.coalesce(quoted(c), F.lit("")).alias(c) for c in records.columns if c not in PROVENANCE],
+            *[c for c in PROVENANCE if c in records.columns],
+        )
+    return records.withColumn("row_id", F.monotonically_increasing_id())
+
+
+def _by_header(spark: SparkSession, paths: list[str], comment: str | None) -> list[list[str]]:
+    """The files grouped by their first line, as Spark lays one header over all files of a scan.
+
+    One text pass over the first block of each file; a path and a hash per file reach the driver, which
+    lists the files of any scan. Files without a line are left out.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(paths)
+    if len(lines.inputFiles()) < 2:
+        return [paths]
+    told = F.trim("value") != ""
+    if comment:
+        told = told & ~F.col("value").startswith(comment[0])
+    at = F.monotonically_increasing_id()
+    first = lines.filter(told & (F.col("_metadata.file_block_start") == 0)).select(
+        F.col("_metadata.file_path").alias("path"), F.xxhash64("value").alias("header"), at.alias("at")
     )
+    groups: dict[int, list[str]] = {}
+    for row in first.groupBy("path").agg(F.min_by("header", "at").alias("header")).collect():
+        groups.setdefault(row["header"], []).append(unquote(row["path"]))
+    if len(groups) < 2:
+        return [paths]
+    return sorted(sorted(group) for group in groups.values())
 
 
 def data_columns(records: DataFrame) -> list[str]:
@@ -169,7 +206,6 @@ def read_detected(spark: SparkSession, paths: str | Sequence[str], default: str
         if first.startswith("﻿"):
             scan = scan.withColumnRenamed(first, first[1:])
         scans.append(scan)
-    out = scans[0]
-    for scan in scans[1:]:
-        out = out.unionByName(scan, allowMissingColumns=True)
-    return out
+    if not scans:
+        return spark.createDataFrame([], "src_file string, src_block bigint, row_id bigint")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)

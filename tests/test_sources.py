@@ -213,3 +213,17 @@ def test_swe_without_an_array_is_a_reject(spark):
     rows = documents.explode_swe(df).orderBy("id", "pos").collect()
     assert (rows[0]["pos"], rows[0]["reject"]) == (None, "No readable data array")
     assert rows[1]["reject"] == "Could not parse time"
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    for name, text in (("a b.csv", "a,b\n1,2\n"), ("c.csv", "b,a\n20,10\n"), ("d.csv", "a,c\n5,\n"), ("e.csv", "")):
+        (tmp_path / name).write_text(text)
+    rows = records.read_records(spark, str(tmp_path), header=True)
+    assert sorted((r["a"], r["b"], r["c"]) for r in rows.collect()) == [("1", "2", ""), ("10", "20", ""), ("5", "", "")]
+    assert rows.select("row_id").distinct().count() == 3
+    numbered = records.number_lines(rows)
+    assert sorted((r["src_line"], r["seq"]) for r in numbered.collect()) == [(1, 0), (1, 1), (1, 2)]
+
+
+def test_charsets_of_an_empty_folder(spark, tmp_path):
+    assert records.read_detected(spark, str(tmp_path)).count() == 0
