@@ -71,15 +71,19 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """Languages in order and their matrix of log-probabilities."""
     pool = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return [], np.zeros((0, BUCKETS), dtype=np.float32)
+    # One rate per language: the sample is drawn where the texts are read, none of them is shuffled.
+    rates = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], per_language / r["n"])])
     share = F.pmod(F.xxhash64(F.lit(4), "doc_id", F.length("text")), F.lit(1 << 24)) / float(1 << 24)
-    sample = pool.join(sizes.withColumnRenamed("lang", "_l"), F.col("lang") == F.col("_l")).filter(share < F.lit(per_language) / F.col("_n"))
+    sample = pool.filter(share < F.element_at(rates, F.col("lang")))
     counts = sample.select("lang", "text").mapInArrow(_counts, "lang string, bucket int, n bigint")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     packed = counts.groupBy("lang").agg(F.collect_list("bucket").alias("b"), F.collect_list("n").alias("n"))
-    rows = sorted(packed.limit(MAX_LANGUAGES + 1).collect(), key=lambda r: r["lang"])  # at most BUCKETS pairs each
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = sorted(packed.collect(), key=lambda r: r["lang"])  # one row a language, at most BUCKETS pairs each
     logs = np.zeros((len(rows), BUCKETS))
     for i, r in enumerate(rows):
         logs[i, r["b"]] = r["n"]

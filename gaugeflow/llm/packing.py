@@ -96,8 +96,8 @@ class Encoder:
                 yield self.whole(text)
                 continue
             first, *rest = text.split(" ")
-            missing = set(rest) - self.memo.keys()
-            self._learn(sorted(missing))
+            # looked up word by word: a difference with the memo's keys would walk the whole memo for each text
+            self._learn(sorted({w for w in rest if w not in self.memo}))
             yield np.array(self.fast.encode_ordinary(first), dtype="<u4").tobytes() + b"".join(map(self.memo.__getitem__, rest))
             if len(self.memo) > 2 * MEMO:
                 self.memo.clear()
