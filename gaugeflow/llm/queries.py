@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import fingerprint, jaccard, langid, license_scan, line_dedup, mixing, packing, quality, secrets, toxicity
+from gaugeflow.llm import fingerprint, jaccard, langid, license_scan, line_dedup, mixing, packing, quality, secrets, token_count, toxicity
 from gaugeflow.session import tune
 
 QUERIES: dict = {}
@@ -129,3 +129,8 @@ def _jaccard(spark, docs, sf_dir):
 @query("op10_fingerprints")
 def _fingerprints(spark, docs, sf_dir):
     return fingerprint.compare_edits(docs)
+
+
+@query("op11_token_counts")
+def _token_counts(spark, docs, sf_dir):
+    return token_count.count_tokens(docs, token_count.default_tokenizer())
