@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import fingerprint, jaccard, langid, license_scan, line_dedup, mixing, packing, quality, secrets, token_count, toxicity
+from gaugeflow.llm import fingerprint, jaccard, langid, license_scan, line_dedup, mixing, packing, periodic, quality, secrets, token_count, toxicity
 from gaugeflow.session import tune
 
 QUERIES: dict = {}
@@ -134,3 +134,8 @@ def _fingerprints(spark, docs, sf_dir):
 @query("op11_token_counts")
 def _token_counts(spark, docs, sf_dir):
     return token_count.count_tokens(docs, token_count.default_tokenizer())
+
+
+@query("op12_periodic_runs")
+def _periodic(spark, docs, sf_dir):
+    return periodic.digest(periodic.scan(docs, periodic.planted))
