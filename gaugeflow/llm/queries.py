@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.llm import fingerprint, jaccard, langid, license_scan, line_dedup, mixing, packing, periodic, quality, secrets, token_count, toxicity
+from gaugeflow.llm import fingerprint, jaccard, langid, license_scan, line_dedup, mixing, packing, periodic, quality, search, secrets, token_count, toxicity
 from gaugeflow.session import tune
 
 QUERIES: dict = {}
@@ -77,6 +77,28 @@ SELECT d.doc_id, d.lang, d.source, length(coalesce(k.text, '')) AS n_chars, CAST
 FROM documents d JOIN kept k ON d.doc_id = k.doc_id
 """
 
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL_SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {TERMS} AS t FROM documents WHERE text IS NOT NULL
+), totals AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM docs WHERE len(t) > 0),
+asked AS (SELECT DISTINCT item_id, text, unnest({TERMS}) AS term FROM benchmark),
+found AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM found, totals GROUP BY term, n_docs
+), scored AS (
+  SELECT item_id, text, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN found USING (term) JOIN weights USING (term), totals GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 @query("op1_toxicity")
 def _toxicity(spark, docs, sf_dir):
@@ -139,3 +161,8 @@ def _token_counts(spark, docs, sf_dir):
 @query("op12_periodic_runs")
 def _periodic(spark, docs, sf_dir):
     return periodic.digest(periodic.scan(docs, periodic.planted))
+
+
+@query("op13_ranked_search", SQL_SEARCH)
+def _search(spark, docs, sf_dir):
+    return search.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
