@@ -7,6 +7,8 @@ chained. The target-based ones return change rows with ``action`` and ``reason``
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -256,13 +258,15 @@ def validate_by_parameters(
     keyed = df.select(
         "*", *[c.alias(n) for n, c in params.items()], F.coalesce(_reason(df), lacking).alias("_reason")
     )
-    joined = salted_lookup(keyed, stored, keys, spread, null_safe=null_safe)
-    late = F.lit(False)
     if update:
-        last = joined.filter(F.col("_reason").isNull() & F.col("_s_obs_id").isNotNull())
-        last = last.groupBy("_s_obs_id").agg(F.max("seq").alias("_last"))
-        joined = salted_lookup(joined, last, ["_s_obs_id"], spread)
-        late = F.coalesce(F.col("seq") < F.col("_last"), F.lit(False))
+        # A set of parameters has one stored row, so the last record of the set is that of the row; it is
+        # found by partial aggregation and joined to the stored side, which the one lookup then carries along.
+        last = keyed.filter(F.col("_reason").isNull()).groupBy(*keys).agg(F.max("seq").alias("_last"))
+        last = last.select(*[F.col(k).alias(f"_l_{k}") for k in keys], "_last")
+        same = [stored[k].eqNullSafe(last[f"_l_{k}"]) if k in null_safe else stored[k] == last[f"_l_{k}"] for k in keys]
+        stored = stored.join(last, reduce(and_, same), "left").drop(*[f"_l_{k}" for k in keys])
+    joined = salted_lookup(keyed, stored, keys, spread, null_safe=null_safe)
+    late = F.coalesce(F.col("seq") < F.col("_last"), F.lit(False)) if update else F.lit(False)
     rejected, found = F.col("_reason").isNotNull(), F.col("_s_obs_id").isNotNull()
     action = F.when(rejected, "reject").when(~found, "insert").when(late, "skip").otherwise("update" if update else "skip")
     reason = F.when(rejected, F.col("_reason")).when(late, "Superseded in batch").when(found, "Same parameters")

@@ -153,7 +153,8 @@ def delete_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "upsert_by_params",
     with_views(
-        """SELECT CASE WHEN s.obs_id IS NULL THEN 'insert' ELSE 'update' END AS action, s.obs_id AS stored_id, i.seq
+        """SELECT CASE WHEN s.obs_id IS NULL THEN 'insert' WHEN i.seq < max(i.seq) OVER (PARTITION BY s.obs_id) THEN 'skip'
+                   ELSE 'update' END AS action, s.obs_id AS stored_id, i.seq
            FROM incoming i LEFT JOIN (SELECT ds_id, k, CAST(min(CAST(obs_id AS BIGINT)) AS VARCHAR) AS obs_id FROM stored GROUP BY ds_id, k) s
            ON s.ds_id = i.ds_id AND s.k = i.k"""
     ),
