@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,7 +86,7 @@ def _raw(df: DataFrame, spec: Converter, by_index: bool) -> Column:
         *[(F.lit(None).cast("string") if c is None else c).alias(n) for n, c in optional.items()],
         F.lit(spec.kind).alias("kind"),
         F.lit(spec.ds_id).cast("string").alias("ds_id"),
-        *[templates.template(t, columns).alias(f"key_{k}") for k, t in sorted(spec.keys.items())],
+        F.array(*[templates.template(t, columns) for _, t in sorted(spec.keys.items())]).cast("array<string>").alias("keys"),
     )
 
 
@@ -167,33 +169,89 @@ def _parse(flat: DataFrame, df: DataFrame, spec: Converter, by_index: bool) -> D
     )
 
 
-def _attach(flat: DataFrame, spec: Converter, datastreams: DataFrame | None) -> DataFrame:
+def _by_branch(specs: Sequence[Converter], of: Callable[[Converter], object], value: Callable[[Converter], Column]) -> Column:
+    """A column that depends on the row's branch, with one case per distinct setting ``of``."""
+    groups: dict = {}
+    for branch, spec in enumerate(specs):
+        groups.setdefault(of(spec), (spec, []))[1].append(branch)
+    if len(groups) == 1:
+        return value(specs[0])
+    out = None
+    for spec, branches in groups.values():
+        test = F.col("branch").isin(branches)
+        out = F.when(test, value(spec)) if out is None else out.when(test, value(spec))
+    return out
+
+
+def _key_set(spec: Converter) -> tuple[str, ...]:
+    return tuple(sorted(spec.keys))
+
+
+def _attach_datastreams(flat: DataFrame, specs: Sequence[Converter], datastreams: DataFrame) -> DataFrame:
+    """The datastream of every row, by the dimension columns its own converter names.
+
+    Key sets are numbered; a row's key is its set's number with the values, and the datastreams are listed
+    once per set with theirs. So one join serves all converters, and each datastream key is resolved once.
+    """
+    sets = sorted({_key_set(s) for s in specs} - {()})
+    types = {k: datastreams.schema[k].dataType for names in sets for k in names}
+
+    def as_key(names: Sequence[str], column: Callable[[int, str], Column]) -> Column:
+        return F.array(*[column(i, k).cast("string") for i, k in enumerate(names)])
+
+    def own_key(spec: Converter) -> Column:
+        names = _key_set(spec)
+        if not names:
+            return F.lit(None).cast("struct<set:int,values:array<string>>")
+        values_ = as_key(names, lambda i, k: F.col("keys")[i].try_cast(types[k]))
+        key = F.struct(F.lit(sets.index(names)).alias("set"), values_.alias("values"))
+        return F.when(~F.exists(values_, lambda v: v.isNull()), key)
+
+    listed = [
+        datastreams.filter(reduce(and_, [F.col(k).isNotNull() for k in names])).select(
+            F.struct(F.lit(i).alias("set"), as_key(names, lambda _, k: F.col(k)).alias("values")).alias("key"), "kind", "ds_id", "uom"
+        )
+        for i, names in enumerate(sets)
+    ]
+    known = reduce(DataFrame.unionAll, listed)
+    if len(sets) == 1 and all(_key_set(s) for s in specs):
+        keyed = flat.drop("kind", "ds_id").withColumn("key", own_key(specs[0]))
+        return map_datastream(keyed, known, {"key": F.col("key")}).drop("key", "keys")
+    keyed = flat.withColumnsRenamed({"kind": "_kind", "ds_id": "_ds_id"}).withColumn("key", _by_branch(specs, _key_set, own_key))
+    mapped = map_datastream(keyed, known, {"key": F.col("key")})
+    fixed = _by_branch(specs, lambda s: not s.keys, lambda s: F.lit(not s.keys))
+    given = {"kind": F.col("_kind"), "ds_id": F.col("_ds_id"), "ds_status": F.lit("ok")}
+    return mapped.withColumns({c: F.when(fixed, v).otherwise(F.col(c)) for c, v in given.items()}).drop("key", "keys", "_kind", "_ds_id")
+
+
+def _attach(flat: DataFrame, specs: Sequence[Converter], datastreams: DataFrame | None) -> DataFrame:
     """Datastream lookup and unit conversion for projected observations."""
-    if spec.keys:
-        if datastreams is None:
-            raise ValueError("this converter looks up datastreams, but no datastreams are given")
-        dims = {k: F.col(f"key_{k}") for k in sorted(spec.keys)}
-        flat = map_datastream(flat.drop("kind", "ds_id"), datastreams, dims).drop(*[f"key_{k}" for k in spec.keys])
-        lookup_reject = F.when(F.col("ds_status") == "not_found", "No Datastream").when(
-            F.col("ds_status") == "ambiguous", "More than one Datastream"
+    if any(s.unit is not None and not s.keys for s in specs):
+        raise ValueError("unit conversion needs the datastream's unit: give keys")
+    if not any(s.keys for s in specs):
+        return flat.drop("unit", "keys")
+    if datastreams is None:
+        raise ValueError("this converter looks up datastreams, but no datastreams are given")
+    flat = _attach_datastreams(flat, specs, datastreams)
+    lookup_reject = F.when(F.col("ds_status") == "not_found", "No Datastream").when(
+        F.col("ds_status") == "ambiguous", "More than one Datastream"
+    )
+    flat = flat.withColumn("reject", F.coalesce("reject", lookup_reject)).drop("ds_status")
+    if any(s.unit is not None for s in specs):
+        target = F.col("ds_uom.symbol")
+        has_unit = _by_branch(specs, lambda s: s.unit is None, lambda s: F.lit(s.unit is not None))
+        same = ~has_unit | F.coalesce(F.col("unit") == target, F.lit(False))
+        converted = _by_branch(
+            specs,
+            lambda s: tuple(map(tuple, s.conversions)),
+            lambda s: values.convert_unit(F.col("result_num"), F.col("unit"), target, s.conversions),
         )
-        flat = flat.withColumn("reject", F.coalesce("reject", lookup_reject)).drop("ds_status")
-        target_unit = F.col("ds_uom.symbol")
-    else:
-        target_unit = None
-    if spec.unit is not None:
-        if target_unit is None:
-            raise ValueError("unit conversion needs the datastream's unit: give keys")
-        same = F.col("unit") == target_unit
-        converted = values.convert_unit(F.col("result_num"), F.col("unit"), target_unit, spec.conversions)
-        failed = ~F.coalesce(same, F.lit(False)) & converted.isNull()
         message = F.concat(
-            F.lit("Failed unit conversion from "), F.coalesce("unit", F.lit("")), F.lit(" to "),
-            F.coalesce(target_unit, F.lit("")),
-        )
-        changed = ~F.coalesce(same, F.lit(False)) & converted.isNotNull()
+            F.lit("Failed unit conversion from "), F.coalesce("unit", F.lit("")), F.lit(" to "), F.coalesce(target, F.lit(""))
+        )
+        changed = ~same & converted.isNotNull()
         flat = (
-            flat.withColumn("reject", F.coalesce("reject", F.when(failed, message)))
+            flat.withColumn("reject", F.coalesce("reject", F.when(~same & converted.isNull(), message)))
             .withColumn("result_text", F.when(changed, converted.cast("string")).otherwise(F.col("result_text")))
             .withColumn("result_kind", F.when(changed, "decimal").otherwise(F.col("result_kind")))
             .withColumn("result_num", F.when(changed, converted).otherwise(F.col("result_num")))
@@ -204,7 +262,7 @@ def _attach(flat: DataFrame, spec: Converter, datastreams: DataFrame | None) ->
 def _convert(df: DataFrame, spec: Converter, datastreams: DataFrame | None, by_index: bool) -> DataFrame:
     passed = [c for c in _PASSED if c in df.columns]
     flat = df.select(*passed, _raw(df, spec, by_index).alias("o")).select(*passed, "o.*")
-    return _attach(_parse(flat, df, spec, by_index), spec, datastreams)
+    return _attach(_parse(flat, df, spec, by_index), [spec], datastreams)
 
 
 def to_observations_by_index(df: DataFrame, spec: Converter, datastreams: DataFrame | None = None) -> DataFrame:
@@ -224,13 +282,10 @@ def fan_out(
 
     The cells of all branches are exploded as text and parsed after that, so the parsing is planned
     once however many converters there are. A branch that rejects a record does not affect the
-    others. All converters share lookup key columns and unit conversions; those that read their
-    cells in different ways (formats, missing markers) make one scan per way.
+    others. Each converter may look up its datastream by other columns and convert units in its own way: all
+    lookups are one join. Converters that read their cells in different ways (formats, missing markers) make
+    one scan per way.
     """
-    keys = {tuple(sorted(s.keys)) for s in specs}
-    units = {(s.unit is None, tuple(map(tuple, s.conversions))) for s in specs}
-    if len(keys) > 1 or len(units) > 1:
-        raise ValueError("converters of one fan-out share their lookup keys and unit conversions")
     passed = [c for c in _PASSED if c in df.columns]
     ways: dict[tuple, list[tuple[int, Converter]]] = {}
     for branch, spec in enumerate(specs):
@@ -240,7 +295,7 @@ def fan_out(
         cells = F.array(*[F.struct(F.lit(b).alias("branch"), _raw(df, s, by_index).alias("o")) for b, s in members])
         flat = df.select(*passed, F.explode(cells).alias("b")).select(*passed, "b.branch", "b.o.*")
         parts.append(_parse(flat, df, members[0][1], by_index))
-    return _attach(union_observations(parts), specs[0], datastreams)
+    return _attach(union_observations(parts), specs, datastreams)
 
 
 def union_observations(parts: Sequence[DataFrame]) -> DataFrame:

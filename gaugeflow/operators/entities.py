@@ -77,6 +77,31 @@ def reconcile(
     )
 
 
+def apply_entities(existing: DataFrame, changes: DataFrame, id_col: str) -> DataFrame:
+    """The entity table after the changes of ``reconcile``, in its own columns: one row per id of either side.
+
+    An update replaces the fields the changes carry and keeps the others; rows that were skipped or rejected
+    change nothing. Both sides are shuffled once, by id.
+    """
+    carried = [c for c in existing.columns if c in changes.columns and c != id_col]
+    made = changes.filter(F.col("action").isin("insert", "update")).select(
+        F.col(id_col).cast(existing.schema[id_col].dataType).alias("_id"), F.struct(*carried).alias("_new")
+    )
+    old = existing.select(id_col, F.struct(*[c for c in existing.columns if c != id_col]).alias("_old"))
+    joined = old.join(made, F.col(id_col) == F.col("_id"), "full_outer")
+
+    def field(name: str) -> Column:
+        if name == id_col:
+            return F.coalesce(id_col, "_id").alias(name)
+        stored = F.col("_old").getField(name)
+        if name in carried:
+            new = F.col("_new").getField(name).cast(existing.schema[name].dataType)
+            return F.when(F.col("_new").isNotNull(), new).otherwise(stored).alias(name)
+        return stored.alias(name)
+
+    return joined.select(*[field(c) for c in existing.columns])
+
+
 def reconcile_things(incoming: DataFrame, existing: DataFrame, on: Sequence[str] = ("name",), **kw) -> DataFrame:
     """Name, description, properties; the location is added or replaced when one is given."""
     return reconcile(

@@ -43,7 +43,7 @@ def map_datastream(
     keys = list(on)
     carry = {"kind": "kind", "ds_id": "ds_id", "ds_uom": "uom"}
     resolved = _by_key(dim, keys, carry, "ds_id", prefix="_k_")
-    keyed = df.select("*", *[e.cast(datastreams.schema[k].dataType).alias(f"_k_{k}") for k, e in on.items()])
+    keyed = df.select("*", *[e.cast(datastreams.schema[k].dataType.simpleString()).alias(f"_k_{k}") for k, e in on.items()])
     joined = salted_lookup(keyed, resolved, [f"_k_{k}" for k in keys], spread)
     one = F.col("_n") == 1
     status = _status(F.col("_n"))

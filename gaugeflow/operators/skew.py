@@ -4,6 +4,7 @@
   (WindowGroupLimit) before the shuffle, so at most k rows per key and task travel.
 * ``salted_lookup``: join against a table that is unique per key; the big side is spread over salts.
 * ``positions``: exact row numbers inside groups of any size, counted in bounded chunks.
+* ``running_total``: sums over all rows before each row, in a total order, by ranges.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeflow.session import stage
+
 SALTS = 4
 CHUNK = 1 << 20
 
@@ -84,3 +87,18 @@ def positions(
         .withColumn(name, F.col("_offset") + F.row_number().over(inside))
         .drop("_chunk", "_offset", "_o_chunk", *[f"_o_{g}" for g in group])
     )
+
+
+def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over all rows before the row in the order of unique columns.
+
+    Rows are dealt by ranges and stored; the only window over everything has one row per range.
+    """
+    dealt = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "running-total")
+    sums = dealt.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col("_range").alias("_r"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum(value).over(inside), F.lit(0))
+    joined = dealt.withColumn("_own", own).join(offsets, F.col("_range") == F.col("_r"))
+    return joined.withColumn(name, F.col("_before") + F.col("_own")).drop("_range", "_r", "_before", "_own")

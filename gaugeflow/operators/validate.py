@@ -1,7 +1,8 @@
 """Validators: observations against a time bound, their own shape, or what the target holds.
 
 Simple validators add a ``reason`` column (NULL means accepted) and keep every row, so they can be
-chained. The target-based ones return change rows with ``action`` and ``reason``.
+chained. The target-based ones return change rows with ``action`` and ``reason``; ``validate_in_order``
+chains validators of both kinds.
 """
 
 from __future__ import annotations
@@ -273,6 +274,65 @@ def validate_by_parameters(
     return _changes(joined, action, reason, columns, stable_id(*TIME_KEY, *params, "seq"))
 
 
+def validate_in_order(
+    df: DataFrame, steps: Sequence[Validator], before_target: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """Change rows by any validators in the order given, also several that ask the target.
+
+    A step either marks rows with a ``reason`` or, asking the target, gives change rows. What a step rejects or
+    skips is closed: later steps see it no more, its first reason stays. What it accepts goes on, with the id of the
+    stored observation it is an update of; a later step that finds another one replaces that id. At the end an
+    accepted row is an update where some step found an observation, else an insert with the id of the last step
+    that asked. Every row leaves once, but for those of one time that a validator by time leaves out.
+
+    ``before_target`` is applied to the rows before each step that asks the target, which reads them several
+    times: put ``stage`` there.
+    """
+    columns = [c for c in df.columns if c not in ("obs_id", "reason", "action")]
+    none = F.lit(None).cast("string")
+    state = ("_closed", "_why", "_found", "_fresh")
+    rows = df.select(*columns, _reason(df).alias("reason"), none.alias("obs_id"), *[none.alias(c) for c in state])
+    closed = F.when(F.col("reason").isNotNull(), "reject")
+    rows = rows.withColumn("_closed", closed)
+    for step in steps:
+        asks = getattr(step, "asks_target", False)
+        out = step(before_target(rows) if asks else rows)
+        if not asks:
+            rows = out.withColumn("_closed", F.coalesce("_closed", closed))
+            continue
+        action = F.col("action")
+        now_closed = F.coalesce("_closed", F.when(action.isin("skip", "reject"), action))
+        rows = out.select(
+            *columns,
+            F.when(now_closed.isNotNull(), F.col("reason")).alias("reason"),
+            none.alias("obs_id"),
+            now_closed.alias("_closed"),
+            F.when(action == "update", F.col("reason")).otherwise(F.col("_why")).alias("_why"),
+            F.when(action.isin("update", "skip"), F.col("obs_id")).otherwise(F.col("_found")).alias("_found"),
+            F.when(action == "insert", F.col("obs_id")).otherwise(F.col("_fresh")).alias("_fresh"),
+        )
+    action = F.coalesce("_closed", F.when(F.col("_found").isNotNull(), "update").otherwise("insert"))
+    done = rows.withColumn("action", action)
+    return done.select(
+        "action",
+        F.coalesce("reason", F.when(F.col("action") == "update", F.col("_why"))).alias("reason"),
+        F.when(F.col("action") == "insert", F.coalesce("_fresh", new_obs_id()))
+        .when(F.col("action") != "reject", F.col("_found"))
+        .alias("obs_id"),
+        *columns,
+    )
+
+
+def asking(step: Validator) -> Validator:
+    """Mark a step of ``validate_in_order`` that gives change rows."""
+
+    def run(df: DataFrame) -> DataFrame:
+        return step(df)
+
+    run.asks_target = True
+    return run
+
+
 def complete_flag(params: dict[str, Column]) -> Column:
     flag = F.lit(True)
     for column in params.values():

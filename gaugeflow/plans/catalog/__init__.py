@@ -10,6 +10,7 @@ def load() -> tuple[dict, dict]:
         aggregates,
         entities,
         expressions,
+        jobs,
         lookups,
         sources,
         streams,

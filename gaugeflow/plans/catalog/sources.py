@@ -422,7 +422,7 @@ def feature_processes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def samples_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sample_files(spark: SparkSession, sf_dir: str) -> str:
     """Suppliers as sample features, positions in (longitude, latitude) order."""
     s = table(spark, sf_dir, "supplier")
     position = F.concat_ws(
@@ -435,8 +435,12 @@ def samples_df(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<sams:shape><gml:Point srsName="EPSG:4326"><gml:pos>'), position,
         F.lit("</gml:pos></gml:Point></sams:shape></aqd:AQD_Sample>"),
     )
-    path = _write_text(spark, sf_dir, "samples_xml", s.select(xml.alias("value")))
-    return features.read_samples(features.read_features(spark, path, "aqd:AQD_Sample", features.SAMPLE), "owner", "link")
+    return _write_text(spark, sf_dir, "samples_xml", s.select(xml.alias("value")))
+
+
+def samples_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = features.read_features(spark, sample_files(spark, sf_dir), "aqd:AQD_Sample", features.SAMPLE)
+    return features.read_samples(feats, "owner", "link")
 
 
 @query(
