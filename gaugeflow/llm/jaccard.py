@@ -8,20 +8,28 @@ most ``HEAVY_TOKENS`` of the most frequent tokens (any fixed order gives the sam
 passages out of the prefixes), then by hash. A set of n tokens that links to any other shares at least
 ceil(0.8 n) of them, so the first n - ceil(0.8 n) + l tokens of two linked sets share at least l. Each set picks
 its own l: a longer prefix costs postings but asks candidates for more shared tokens; l minimises the cost
-estimated from the frequencies. A pair is a candidate when it shares min(l, l') prefix tokens.
+estimated from the frequencies. A pair is verified only if it shares min(l, l') prefix tokens.
 
-Groups. Postings of up to ``SMALL`` sets give all their pairs. Longer ones first compare each set with one pivot,
-then sets outside the posting's largest component with ``PIVOTS`` members of that component, and last all pairs of
-sets still in different components. Pairs within a component are not compared again: a group of near copies costs
-about its size, and no link between different components is missed. Components come from alternating stars.
+Filters. Two sets of n and m tokens link only if they share 80 (n + m) / 180 of them, and what they share lies at or
+behind their first common token. So each posting carries n and how many of the set's tokens are left from there on
+(its *room*); two entries of a posting are a pair only if both have room for what n and m ask. The first common
+token of a linked pair passes, so no link is lost.
+
+Groups. Postings of up to ``SMALL`` sets give all such pairs. In longer ones each set first meets the hub, the set
+with most room for its size: in a group of copies that is the text the others were made from, or one as close.
+Then the sets still in different components meet, by token and size band: a set of n tokens looks for smaller sets
+only in the bands from 0.8 n up to the size its room allows. Pairs within a component are not compared again: a group
+of near copies costs about its size, and no link between different components is missed. Components come from
+alternating stars.
 
 Verification compares whole sets. Pairs are gathered in cells of at most about ``CELL_PAIRS`` pairs that share
-sets, and a set is computed and sent once per cell that needs it.
+sets, and a set is sent once per cell that needs it. The texts that are needed are found by a bit table of
+``FILTER_BITS`` bits whatever the input, and hashed again; all the rest of the corpus stays where it is.
 
 Defined results: null text, and text without a word, has the empty set, links with nothing and is its own
 component; with one to four words the whole sequence is the only shingle; rows with equal id and text link as
 copies; a component without an id but null has null; an empty table gives an empty result; other columns are
-ignored. Classes are told apart by 62 bits: among n different sets a chance match has probability n * n / 2**63.
+ignored. Classes are told apart by 64 bits: among n different sets a chance match has probability n * n / 2**65.
 """
 
 from __future__ import annotations
@@ -39,17 +47,17 @@ from gaugeflow.session import stage
 
 SHINGLE = 5
 LEAST_PERCENT = 80
-LONGEST_MATCH = 4  # l is at most this and fits two bits of a node
 HEAVY_TOKENS = 1 << 20
 HEAVY_LEAST = 16
 FLUSH = 1 << 22  # tokens a task holds before it sends their counts
 SEGMENT = 1 << 20  # bytes hashed at once
 SMALL = 8
-PIVOTS = 16
 HEAVY_SALTS = 64
 CELL_PAIRS = 512
-SENT_IDS = 500_000  # ids that are broadcast; beyond, the texts are shuffled
-ROW_COST, PAIR_COST, VERIFY_COST = 1.0, 1.0, 20.0
+FILTER_BITS = 1 << 25
+BAND = 1.02  # ratio of the sizes at the ends of a band
+SALTS = 8
+ROW_COST, PAIR_COST, VERIFY_COST = 1.0, 1.0, 4.0
 
 _RANDOM = np.random.default_rng(20240117)
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -107,9 +115,8 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def set_hash(tokens: np.ndarray) -> int:
-    """Hash of a set with its two lowest bits clear."""
     total = np.array([len(tokens)], dtype=np.uint64) + mixed(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-    return int(mixed(total).view(np.int64)[0]) & ~(LONGEST_MATCH - 1)
+    return int(mixed(total).view(np.int64)[0])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -194,8 +201,8 @@ def heavy_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens, np.frombuffer(b"".join(r["n"] for r in rows), dtype="<i8")
 
 
-def prefix(tokens: np.ndarray, heavy: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Leading halves of the prefix tokens, which of them are heavy, and how many a candidate has to share."""
+def prefix(tokens: np.ndarray, heavy: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Leading halves of the prefix tokens, which of them are heavy, their room, and how many a candidate has to share."""
     half = (tokens >> np.uint64(32)).astype(np.uint32)
     n, seen = len(tokens), np.ones(len(tokens))
     if len(heavy):
@@ -206,61 +213,64 @@ def prefix(tokens: np.ndarray, heavy: np.ndarray, frequency: np.ndarray) -> tupl
     order = np.argsort(rank, kind="stable")  # tokens come sorted: by class, then by hash
     half, seen = half[order], seen[order]
     least = -(-LEAST_PERCENT * n // 100)
-    cost = np.cumsum(seen - 1)
-    best, chosen = None, 1
-    for match in range(1, min(LONGEST_MATCH, least) + 1):
-        length = n - least + match
-        total = ROW_COST * length + PAIR_COST * cost[length - 1] + VERIFY_COST * cost[length - 1] / match
-        if best is None or total < best:
-            best, chosen = total, match
+    match = np.arange(1, least + 1)
+    # Sets met by a prefix of each length; a long posting's sets meet by its hub, so it counts as a short one.
+    met = np.cumsum(np.minimum(seen - 1, SMALL - 1))[n - least :]
+    total = ROW_COST * (n - least + match) + PAIR_COST * met + VERIFY_COST * met / match
+    chosen = int(match[np.argmin(total)])
     length = n - least + chosen
     half, first = np.unique(half[:length], return_index=True)
-    # tokens that agree in their leading half count once
-    return half, seen[first] > 1, max(1, chosen - (length - len(half)))
+    # tokens that agree in their leading half count once, at the first of them
+    return half, seen[first] > 1, n - first, max(1, chosen - (length - len(half)))
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """(token, node) of all prefix tokens that more than one set holds; a node's low bits hold l - 1."""
-    heavy = docs.sparkSession.sparkContext.broadcast(heavy_tokens(docs))
+def postings(docs: DataFrame, heavy) -> DataFrame:
+    """(token, node, n, room) of all prefix tokens that more than one set holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = heavy.value
         sent: set[int] = set()  # copies in one task are sent once
         for batch in batches:
-            tokens, often, nodes = [], [], []
+            tokens, often, nodes, sizes, rooms = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 own = shingles(text)
                 node = set_hash(own)
                 if len(own) and node not in sent:
                     sent.add(node)
-                    half, is_heavy, match = prefix(own, known, frequency)
+                    half, is_heavy, room, _ = prefix(own, known, frequency)
                     tokens.append(half.view(np.int32))
                     often.append(is_heavy)
-                    nodes.append(np.full(len(half), node | (match - 1), dtype=np.int64))
+                    nodes.append(np.full(len(half), node, dtype=np.int64))
+                    sizes.append(np.full(len(half), len(own), dtype=np.int32))
+                    rooms.append(room.astype(np.int32))
             if nodes:
-                columns = [np.concatenate(tokens), np.concatenate(often), np.concatenate(nodes)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "heavy", "node"])
+                columns = [np.concatenate(c) for c in (tokens, often, nodes, sizes, rooms)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "heavy", "node", "n", "room"])
 
-    rows = docs.select("text").mapInArrow(run, "token int, heavy boolean, node bigint")
+    rows = docs.select("text").mapInArrow(run, "token int, heavy boolean, node bigint, n int, room int")
     # A frequent token is held by more than one set anyway, so its sets may be dealt to several tasks.
     salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("node"), F.lit(HEAVY_SALTS))).otherwise(0)
     same = Window.partitionBy("token", "salt")
     seen = rows.withColumn("salt", salt).select(
         "token",
         "node",
+        "n",
+        "room",
         F.lag("node").over(same.orderBy("node")).alias("before"),
         (F.col("heavy") | (F.min("node").over(same) != F.max("node").over(same))).alias("shared"),
     )
-    return seen.filter(F.col("shared") & ~F.col("before").eqNullSafe(F.col("node"))).select("token", "node")
+    return seen.filter(F.col("shared") & ~F.col("before").eqNullSafe(F.col("node"))).select("token", "node", "n", "room")
 
 
-def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _ends(a: Column, b: Column) -> Column:
+    return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
-def _needed(a: str = "a", b: str = "b") -> Column:
-    low = lambda c: F.col(c).bitwiseAND(LONGEST_MATCH - 1)
-    return F.least(low(a), low(b)) + 1
+def _may_link(x: Column, y: Column) -> Column:
+    """Two entries of a posting, structs with n and room, pass the filters of size and room."""
+    n, m = x["n"].cast("bigint"), y["n"].cast("bigint")
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * LEAST_PERCENT
+    return sizes & (F.least(x["room"], y["room"]) * F.lit(100 + LEAST_PERCENT).cast("bigint") >= LEAST_PERCENT * (n + m))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -297,106 +307,140 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _linked(sets: pa.Table, pairs: pa.Table) -> pa.Table:
-    """The pairs of one cell whose sets reach the similarity."""
-    tokens = dict(zip(sets.column("node").to_pylist(), sets.column("tokens").to_pylist(), strict=True))
-    held = {node: np.frombuffer(data, dtype=np.uint64) for node, data in tokens.items()}
+    """The pairs of one cell that share enough prefix tokens and whose whole sets reach the similarity."""
+    held = {}
+    for node, match, lead, tokens in zip(*(sets.column(c).to_pylist() for c in ("node", "match", "lead", "tokens")), strict=True):
+        held[node] = match, np.frombuffer(lead, dtype=np.uint32), np.frombuffer(tokens, dtype=np.uint64)
     out = []
     for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
-        x, y = sorted((held[a], held[b]), key=len)
-        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-        common = int((y[at] == x).sum())
+        (match, lead, x), (other_match, other_lead, y) = sorted((held[a], held[b]), key=lambda s: len(s[2]))
+        if _common(lead, other_lead) < min(match, other_match):
+            continue
+        common = _common(x, y)
         if 100 * common >= LEAST_PERCENT * (len(x) + len(y) - common):
             out.append((a, b))
     columns = list(zip(*out, strict=True)) or [[], []]
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
 class _Verifier:
     """Keeps the verified links of candidate pairs; sets are computed for the texts that need them."""
 
-    def __init__(self, docs: DataFrame, found: DataFrame):
-        self.docs = docs
-        self.sizes = found.filter("node IS NOT NULL").groupBy("node").agg(
-            F.min(F.struct("doc_id", "key")).alias("rep"), F.first("n").alias("n")
-        )
-        self.sizes = stage(self.sizes, "jaccard-classes")
-
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """(g, block, node, tokens): the sets that the pairs of each cell need."""
-        ends = pairs.select("g", "block", F.col("a").alias("node")).unionByName(pairs.select("g", "block", F.col("b").alias("node")))
-        cells = ends.groupBy("node").agg(F.collect_set(F.struct("g", "block")).alias("cells"))
-        wanted = stage(self.sizes.join(cells, "node").select("rep.doc_id", "rep.key", "node", "cells"), "jaccard-wanted")
-        few = wanted.count() <= SENT_IDS
-        wanted = wanted.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "node", "cells")
-        rows = self.docs.withColumn("key", text_key(F.col("text"))).join(
-            F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))
-        ).select("node", "cells", "text")
+    def __init__(self, docs: DataFrame, found: DataFrame, heavy):
+        self.docs, self.heavy = docs, heavy
+        heads = found.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("head"))
+        self.heads = stage(heads.select("node", F.xxhash64("head.doc_id", "head.key").alias("row")), "jaccard-heads")
+
+    def _wanted(self, nodes: DataFrame):
+        """Bit table, of ``FILTER_BITS`` bits in all, of the rows that stand for the given classes."""
+        row = F.pmod(F.col("row"), F.lit(FILTER_BITS))
+        bits = self.heads.join(nodes, "node").select(F.floor(row / 64).cast("int").alias("word"), F.expr("1L << int(pmod(row, 64))").alias("bit"))
+        table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+        for batch in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow().to_batches():
+            table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+        return self.docs.sparkSession.sparkContext.broadcast(table)
+
+    def _sets(self, ends: DataFrame) -> DataFrame:
+        """(s_g, s_block, node, match, lead, tokens): the sets that each cell needs."""
+        filled, heavy = self._wanted(ends.select("node").distinct()), self.heavy
+        rows = self.docs.select(F.xxhash64("doc_id", text_key(F.col("text"))).alias("row"), "text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table, (known, frequency) = filled.value, heavy.value
+            sent: set[int] = set()
             for batch in batches:
-                sets = [shingles(t).view(np.int64).tobytes() for t in batch.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["node", "cells", "tokens"])
-
-        hashed = rows.mapInArrow(run, "node bigint, cells array<struct<g:bigint,block:bigint>>, tokens binary")
-        return hashed.select(F.explode("cells").alias("c"), "node", "tokens").select("c.g", "c.block", "node", "tokens")
+                row = batch.column(0).to_numpy()
+                place = np.mod(row, FILTER_BITS)
+                hit = (table[place // 64] >> (np.mod(row, 64))) & 1
+                out = []
+                for i in np.flatnonzero(hit).tolist():
+                    own = shingles(batch.column(1)[i].as_py())
+                    node = set_hash(own)
+                    if len(own) and node not in sent:
+                        sent.add(node)
+                        lead, _, _, match = prefix(own, known, frequency)
+                        out.append((node, match, lead.tobytes(), own.tobytes()))
+                columns = list(zip(*out, strict=True)) or [[]] * 4
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "match", "lead", "tokens"])
+
+        hashed = rows.mapInArrow(run, "node bigint, match bigint, lead binary, tokens binary")
+        once = hashed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("match", "lead", "tokens")])
+        return ends.join(once, "node").select("s_g", "s_block", "node", "match", "lead", "tokens")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes, low bits clear, that reach the similarity."""
-        size = lambda end: self.sizes.select(F.col("node").alias(f"_{end}"), F.col("n").alias(f"n_{end}"))
-        clear = lambda c: F.col(c).bitwiseAND(~(LONGEST_MATCH - 1)).alias(c)
-        sized = pairs.select(clear("a"), clear("b")).filter("a <> b").distinct()
-        sized = sized.join(size("a"), F.col("a") == F.col("_a")).join(size("b"), F.col("b") == F.col("_b"))
-        fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * LEAST_PERCENT
-        sized = stage(sized.filter(fits).select("a", "b", "n_a", "n_b"), "jaccard-pairs")
+        """The pairs (a, b) of classes that reach the similarity."""
+        pairs = stage(pairs.filter("a <> b").distinct(), "jaccard-pairs")
         # Pairs that share sets meet in one cell: by the smallest partner of one end, in blocks of the other.
-        turned = sized.select("a", "b").unionByName(sized.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        turned = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = turned.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("g")).select(F.col("a").alias("_a"), "g")
-        placed = salted_lookup(sized.withColumn("_a", F.col("a")), low, ["_a"], spread="b", how="inner").drop("_a")
+        placed = salted_lookup(pairs.withColumn("_a", F.col("a")), low, ["_a"], spread="b", how="inner").drop("_a")
         counts = placed.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CELL_PAIRS).cast("bigint").alias("blocks"))
         placed = salted_lookup(placed, counts, ["g"], spread="b", how="inner")
         placed = stage(placed.select("g", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "a", "b"), "jaccard-cells")
-        cells = self._sets(placed).groupBy("g", "block").cogroup(placed.groupBy("g", "block"))
+        ends = placed.select(F.col("g").alias("s_g"), F.col("block").alias("s_block"), F.explode(F.array("a", "b")).alias("node")).distinct()
+        cells = self._sets(ends).groupBy("s_g", "s_block").cogroup(placed.groupBy("g", "block"))
         return stage(cells.applyInArrow(_linked, "a bigint, b bigint"), "jaccard-links")
 
 
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / float(np.log(BAND))).cast("int")
+
+
+def _left_over(long: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs of long postings that pass the filters, between sets of different components."""
+    roots = connected(done)
+    held = salted_lookup(long, roots, ["node"], spread="token").withColumn("root", F.coalesce("root", "node"))
+    counts = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
+    major = counts.groupBy("token").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    major = major.filter("parts > 1").select("token", F.col("top.root").alias("major"))
+    held = stage(salted_lookup(held, major, ["token"], spread="node", how="inner"), "jaccard-open")
+    # The larger set of a pair looks for the smaller one in the bands of all sizes its room allows.
+    room = F.floor(((100 + LEAST_PERCENT) * F.col("room").cast("bigint") - LEAST_PERCENT * F.col("n")) / LEAST_PERCENT)
+    least = F.ceil(F.col("n") * F.lit(LEAST_PERCENT) / 100)
+    most = F.least(F.col("n").cast("bigint"), room)
+    entry = F.struct("node", "n", "room", "root")
+    spread = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    large = held.filter(most >= least).select(
+        "token", entry.alias("x"), (F.col("root") == F.col("major")).alias("x_major"), F.explode(F.sequence(_band(least), _band(most))).alias("band")
+    )
+    small = held.select("token", entry.alias("y"), (F.col("root") == F.col("major")).alias("y_major"), _band(F.col("n")).alias("band"), spread.alias("salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    large = large.select("*", salts)
+    met = large.filter("NOT x_major").join(small, ["token", "band", "salt"]).unionByName(
+        large.filter("x_major").join(small.filter("NOT y_major"), ["token", "band", "salt"])
+    )
+    met = met.filter((F.col("x.root") != F.col("y.root")) & _may_link(F.col("x"), F.col("y")))
+    return met.select(_ends(F.col("x.node"), F.col("y.node")).alias("p")).select("p.a", "p.b")
+
+
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Links (a, b) of classes that connect all their components."""
-    rows = stage(postings(docs), "jaccard-postings")
-    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("pivot"))
-    verify = _Verifier(docs, found)
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy_tokens(docs))
+    rows = stage(postings(docs, heavy), "jaccard-postings")
+    share = F.col("room") / F.col("n")
+    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct(share.alias("share"), "node", "n", "room")).alias("hub"))
+    verify = _Verifier(docs, found, heavy)
     # All pairs of short postings, at most SMALL * (SMALL - 1) / 2 each.
     short = salted_lookup(rows, sizes.filter(F.col("c") <= SMALL).select("token"), ["token"], spread="node", how="inner")
-    lists = short.groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("s"))
-    each = F.flatten(F.transform("s", lambda x, i: F.transform(F.slice("s", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    near = lists.select(F.explode(each).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("few"))
-    near = stage(near, "jaccard-short")
-    # Long postings: each set with the first.
-    long = stage(salted_lookup(rows, sizes.filter(F.col("c") > SMALL).select("token", "pivot"), ["token"], spread="node", how="inner"), "jaccard-long")
-    first = long.filter("node <> pivot").select(*_pair(F.col("node"), F.col("pivot"))).distinct()
-    done = verify.links(near.filter(F.col("few") >= _needed()).select("a", "b").unionByName(first))
-    # Sets outside the largest component of a posting with some of its members, then all that is left.
-    for last in (False, True):
-        roots = connected(done)
-        clear = F.col("node").bitwiseAND(~(LONGEST_MATCH - 1))
-        held = salted_lookup(long.select("token", "node", clear.alias("m")), roots.withColumnRenamed("node", "m"), ["m"], spread="token")
-        held = held.select("token", "node", F.coalesce("root", "m").alias("root"))
-        counts = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-        major = counts.groupBy("token").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        major = major.filter("parts > 1").select("token", F.col("top.root").alias("major"))
-        held = stage(salted_lookup(held, major, ["token"], spread="node", how="inner"), "jaccard-open")
-        minor = held.filter("root <> major").select("token", "node", "root")
-        if last:
-            other = held.select("token", F.col("node").alias("y"), F.col("root").alias("y_root"), (F.col("root") == F.col("major")).alias("y_major"))
-            met = minor.join(other, "token").filter((F.col("root") != F.col("y_root")) & (F.col("y_major") | (F.col("node") < F.col("y"))))
-            pairs = met.select(*_pair(F.col("node"), F.col("y"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("many"))
-            pairs = pairs.join(near.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "few"), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left")
-            pairs = pairs.filter(F.col("many") + F.coalesce("few", F.lit(0)) >= _needed())
-        else:
-            rank = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("node"), "node"))
-            some = held.filter("root = major").withColumn("r", rank).filter(F.col("r") <= PIVOTS).select("token", F.col("node").alias("y"))
-            pairs = minor.join(some, "token").select(*_pair(F.col("node"), F.col("y"))).distinct()
-        done = done.unionByName(verify.links(pairs.select("a", "b")))
-    return done
+    lists = short.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("node", "n", "room"))).alias("s"))
+
+    def with_later(x: Column, i: Column) -> Column:
+        later = F.filter(F.slice("s", i + 2, SMALL), lambda y: _may_link(x, y))
+        return F.transform(later, lambda y: _ends(x["node"], y["node"]))
+
+    near = lists.select(F.explode(F.flatten(F.transform("s", with_later))).alias("p")).select("p.a", "p.b")
+    # Long postings: each set with the hub.
+    long = stage(salted_lookup(rows, sizes.filter(F.col("c") > SMALL).select("token", "hub"), ["token"], spread="node", how="inner"), "jaccard-long")
+    own = F.struct("node", "n", "room")
+    first = long.filter((F.col("node") != F.col("hub.node")) & _may_link(own, F.col("hub"))).select(_ends(F.col("node"), F.col("hub.node")).alias("p"))
+    done = verify.links(near.unionByName(first.select("p.a", "p.b")))
+    return done.unionByName(verify.links(_left_over(long.drop("hub"), done)))
 
 
 def components(docs: DataFrame) -> DataFrame:

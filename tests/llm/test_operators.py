@@ -99,9 +99,11 @@ def test_prefixes_share_enough_tokens():
             continue
         heavy = np.unique((rng.choice(base, 5) >> np.uint64(32)).astype(np.uint32))
         often = rng.integers(16, 900, len(heavy))
-        a, _, m = jaccard.prefix(base, heavy, often)
-        b, _, n = jaccard.prefix(other, heavy, often)
-        assert len(np.intersect1d(a, b)) >= min(m, n)
+        (a, _, room_a, m), (b, _, room_b, n) = jaccard.prefix(base, heavy, often), jaccard.prefix(other, heavy, often)
+        shared, at_a, at_b = np.intersect1d(a, b, return_indices=True)
+        assert len(shared) >= min(m, n)
+        room = np.minimum(room_a[at_a], room_b[at_b]).max()  # at the first common token
+        assert 180 * room >= 80 * (len(base) + len(other))
 
 
 def test_language(docs):
