@@ -40,18 +40,23 @@ def local_session(cpus: int | str = "*", memory: str = "12g") -> SparkSession:
     return tune(spark)
 
 
+_OWN_DIR: dict[str, str] = {}  # per application, where the session names no folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder.
+    Only a master within one process may fall back to a temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="gaugeflow-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_DIR:
+        _OWN_DIR[application] = tempfile.mkdtemp(prefix="gaugeflow-")
+    return _OWN_DIR[application]
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -72,8 +77,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps use and read it back.
 
     The steps then share one computation, start from columnar files with statistics, and don't
-    depend on executors that may be gone. The files stay in the shared folder.
+    depend on executors that may be gone. The files stay in the shared folder until ``discard``.
     """
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _files(spark, path)[0].exists(_files(spark, path)[1])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, in whatever store it is, and the path in it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete staged tables that no later step reads: results built on them must be written or staged themselves."""
+    for df in frames:
+        delete_path(df.sparkSession, df.staged_at)

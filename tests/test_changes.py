@@ -10,9 +10,10 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import aggregate, apply, entities, lookup, validate
+from gaugeflow.operators import aggregate, apply, days, entities, lookup, validate
 from gaugeflow.plans.catalog.base import incoming, obs, stored
 from gaugeflow.plans.catalog.streams import flagship
+from gaugeflow.session import staging_path
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = (
@@ -223,3 +224,41 @@ def test_upload_batches_hold_json_values(spark):
 def test_lowest_id_is_numeric(spark):
     df = spark.createDataFrame([("9", "k"), ("10", "k"), ("x", "k")], "ds_id string, name string")
     assert {r["main_id"] for r in entities.with_main_id(df, ["name"]).collect()} == {"9"}
+
+
+def test_changes_read_and_write_only_the_days_they_touch(spark):
+    """The table by day equals the whole table after the same changes, also where an update moves to another day."""
+    root = staging_path(spark, "days")
+    rows = [("a", d, None, str(d), d, {"f": str(d)}, d) for d in range(1, 11)]
+    table = frame(spark, *rows)
+    first = days.create_days(table, root)
+    schema = table.schema
+    changes = frame(spark, ("a", 4, None, "4", 40, {}, 0), ("a", 12, None, "6", 60, {}, 1), ("b", 9, None, "n", 1, {}, 2), ("a", 2, None, "2", 0, {}, 3))
+    action = F.when(F.col("obs_id") == "n", "insert").when(F.col("obs_id") == "2", "delete").otherwise("update")
+    changes = changes.withColumn("action", action)
+    assert {d.day for d in days.touched_days(days.read_days(spark, root, schema, first), changes)} == {2, 4, 6, 9, 12}
+    assert {d.day for d in days.touched_days(days.read_days(spark, root, schema, first), changes, same_time=True)} == {2, 4, 9, 12}
+    second = days.apply_by_day(spark, root, changes, schema)
+    whole = apply.apply_changes(table, changes)
+    key = ["obs_id", "ds_id", "phen_start", "result_num"]
+    assert days.read_days(spark, root, schema).select(key).exceptAll(whole.select(key)).count() == 0
+    assert whole.count() == days.read_days(spark, root, schema).count() == 10
+    assert {d.day for d in first.days if second.days.get(d) == first.days[d]} == {1, 3, 5, 7, 8, 10}
+    assert {d.day for d in second.days} == {1, 3, 4, 5, 7, 8, 9, 10, 12}  # days 2 and 6 are empty now
+    assert days.read_days(spark, root, schema, first).count() == 10  # readers of the earlier version still have it
+    days.retire(spark, root, [first])
+    assert days.read_days(spark, root, schema).count() == 10 and days.read_pointer(spark, root).version == second.version
+    same = days.apply_by_day(spark, root, changes.filter("false"), schema)
+    assert same.days == second.days
+
+
+def test_an_empty_table_by_day(spark):
+    root = staging_path(spark, "days")
+    table = frame(spark, ("a", 1, None, "1", 1, {}, 0)).filter("false")
+    assert days.create_days(table, root).days == {}
+    assert days.read_days(spark, root, table.schema).count() == 0
+    new = frame(spark, ("a", 1, None, "1", 1, {}, 0)).withColumn("action", F.lit("insert"))
+    days.apply_by_day(spark, root, new, table.schema)
+    assert days.read_days(spark, root, table.schema).count() == 1
+    days.apply_by_day(spark, root, new.withColumn("action", F.lit("delete")), table.schema)
+    assert days.read_days(spark, root, table.schema).count() == 0

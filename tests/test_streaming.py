@@ -39,8 +39,44 @@ def test_later_runs_see_what_earlier_ones_stored(spark):
     rows(spark, ("a", 2, 5, 0), ("a", 3, 3, 1), ("z", 1, 9, 2)).write.mode("append").parquet(source)
     want = [("a", 1, 1.0), ("a", 2, 5.0), ("a", 3, 3.0), ("z", 1, 9.0)]
     assert run() == want
-    snapshot = incremental.compact(spark, table, staging_path(spark, "compact"), base)
-    assert held(spark.read.parquet(snapshot)) == want
+    incremental.compact(spark, table, base)
+    assert held(incremental.current(spark, table)) == want
+
+
+def log_files(spark, table):
+    """The log files a reader opens."""
+    opened = incremental._versions(spark, table, None, None).select(F.input_file_name().alias("f")).distinct().collect()
+    return {r["f"].split("/batch=")[1][0] for r in opened if "/log/" in r["f"]}
+
+
+def test_the_log_is_folded_into_the_days_it_touches(spark):
+    source, table, checkpoint = (staging_path(spark, n) for n in ("src", "table", "check"))
+
+    def run():
+        incremental.run_incremental(spark, source, SCHEMA, observations, table, checkpoint)
+
+    rows(spark, ("a", 1, 1, 0), ("a", 2, 2, 1), ("b", 3, 3, 2)).write.parquet(source)
+    run()
+    first = incremental.compact(spark, table)
+    assert sorted(str(d) for d in first.days) == ["2024-01-01", "2024-01-02", "2024-01-03"] and first.folded == 0
+    assert log_files(spark, table) == set()  # folded batches are not read
+    rows(spark, ("a", 2, 7, 0), ("c", 9, 4, 1)).write.mode("append").parquet(source)
+    run()
+    want = [("a", 1, 1.0), ("a", 2, 7.0), ("b", 3, 3.0), ("c", 9, 4.0)]
+    assert held(incremental.current(spark, table)) == want
+    assert log_files(spark, table) == {"1"}
+    second = incremental.compact(spark, table, drop=True)
+    kept = {d for d in first.days if first.days[d] == second.days.get(d)}
+    assert sorted(str(d) for d in kept) == ["2024-01-01", "2024-01-03"]  # untouched days were not written anew
+    assert held(incremental.current(spark, table)) == want
+    assert held(spark.read.parquet(f"{table}/days/gen={first.days[dt.date(2024, 1, 1)]}")) == [("a", 1, 1.0), ("b", 3, 3.0)]
+    run()  # nothing new
+    assert incremental.compact(spark, table).version == second.version
+    rows(spark, ("a", 2, 8, 0)).write.mode("append").parquet(source)
+    lost = staging_path(spark, "check")  # a new checkpoint reads everything again, as later batches
+    incremental.run_incremental(spark, source, SCHEMA, observations, table, lost)
+    assert [r for r in held(incremental.current(spark, table)) if r[0] != "a"] == [("b", 3, 3.0), ("c", 9, 4.0)]
+    assert incremental.compact(spark, table).folded > second.folded
 
 
 def test_a_repeated_batch_replaces_its_own_rows(spark):
