@@ -2,9 +2,10 @@
 
 ``base_spans`` are three patterns. ``confirmed_spans`` decodes runs of base64 or hexadecimal digits and reports
 those that hold a structure: a DER key whose nested lengths add up (``der``), length-prefixed strings of an SSH
-key (``ssh``), a signed token whose first part is a JSON header naming its algorithm (``jwt``), or text in which a
-base pattern is found (``nested``). A PEM body broken over lines is joined before it is decoded. Candidates that
-fail to decode or to parse are not reported.
+key (``ssh``; of a private one all sections up to its end), a signed token whose first part is a JSON header naming its
+algorithm (``jwt``), or text in which a base pattern is found (``nested``). A PEM body broken over lines is joined
+before it is decoded; one that is encrypted can't be parsed, so its headers have to name a cipher and a start value
+and its body has to be whole blocks (``pem``). Candidates that fail to decode or to parse are not reported.
 
 Defined results: null and empty text has no spans; spans are code point offsets, end exclusive; null or repeated
 ids are rows like others; an empty table gives an empty result; other columns are ignored.
@@ -17,7 +18,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,14 +30,15 @@ ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_CHARS, ACCESS_CHARS = 8, 16
-KINDS = ("assign", "access", "hex", "der", "ssh", "jwt", "nested")
+KINDS = ("assign", "access", "hex", "der", "ssh", "jwt", "nested", "pem")
 
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----((?:\r?\n[A-Za-z-]+: [^\n]*)*)([A-Za-z0-9+/=\s]*)-----END \1-----")
+ENCRYPTED = re.compile(r"\nProc-Type: *4,ENCRYPTED(?=\s).*?\nDEK-Info: *[A-Z0-9-]+,([0-9A-Fa-f]{16,32})\s", re.S)
+SSH_MARK = b"openssh-key-v1\0"
 RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]+")
 KEYWORD = re.compile(r"(?:password|passwd|secret|token|api_?key)", re.A | re.I)
-LONGEST_NUMBER = 1 << 16
 
 Span = tuple[int, int, str]
 
@@ -81,18 +85,35 @@ def is_der(data: bytes) -> bool:
     return items >= 2 and telling
 
 
-def is_ssh(data: bytes) -> bool:
-    """The OpenSSH private key mark, or length-prefixed strings that fill the data, the first a key type."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    at, parts = 0, []
-    while at + 4 <= len(data):
+def _strings(data: bytes, at: int, most: int | None = None) -> tuple[list[bytes], int] | None:
+    """Length-prefixed strings from a place on, at most so many, and where they end."""
+    parts = []
+    while at < len(data) and (most is None or len(parts) < most):
         size = int.from_bytes(data[at : at + 4], "big")
-        if size > LONGEST_NUMBER or at + 4 + size > len(data):
-            return False
+        if at + 4 + size > len(data):
+            return None
         parts.append(data[at + 4 : at + 4 + size])
         at += 4 + size
-    return at == len(data) and len(parts) >= 2 and re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+$", parts[0]) is not None
+    return parts, at
+
+
+def is_ssh(data: bytes) -> bool:
+    """Length-prefixed strings that fill the data, the first a key type; or all sections of a private key."""
+    if data.startswith(SSH_MARK):
+        head = _strings(data, len(SSH_MARK), 3)  # cipher, derivation and its options
+        if not head or len(head[0]) < 3 or head[1] + 4 > len(data):
+            return False
+        keys = int.from_bytes(data[head[1] : head[1] + 4], "big")
+        rest = _strings(data, head[1] + 4)  # the public keys and one section of private ones
+        return rest is not None and keys >= 1 and len(rest[0]) == keys + 1 and all(map(is_ssh, rest[0][:keys])) and len(rest[0][keys]) % 8 == 0
+    found = _strings(data, 0)
+    return found is not None and len(found[0]) >= 2 and re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+$", found[0][0]) is not None
+
+
+def is_encrypted(headers: str, data: bytes) -> bool:
+    """The headers of an encrypted key before a body of whole blocks of its cipher."""
+    start = ENCRYPTED.search(headers + "\n")
+    return start is not None and len(data) >= 16 and len(data) % (len(start[1]) // 2) == 0
 
 
 def decoded(run: str) -> Iterator[bytes]:
@@ -132,14 +153,19 @@ def is_signed(header: str) -> bool:
 
 def confirmed_spans(text: str) -> list[Span]:
     spans = [(m.start(), m.end(), "jwt") for m in SIGNED.finditer(text) if is_signed(m[1])]
-    taken = list(spans)
+    taken = [(start, end) for start, end, _ in spans]
     for m in PEM.finditer(text) if "-----BEGIN" in text else ():
-        kinds = [k for data in decoded("".join(m[2].split())) if (k := structure(data))]
+        bodies = list(decoded("".join(m[3].split())))
+        kinds = [k for data in bodies if (k := structure(data))]
+        kinds += ["pem" for data in bodies if m[2] and m[1].endswith("PRIVATE KEY") and is_encrypted(m[2], data)]
         if kinds:
             spans.append((m.start(), m.end(), kinds[0]))
-        taken.append((m.start(), m.end(), ""))
+        taken.append((m.start(), m.end()))
+    taken.sort()
+    starts, reach = [start for start, _ in taken], list(accumulate((end for _, end in taken), max))
     for m in RUN.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b, _ in taken):
+        before = bisect_left(starts, m.end())
+        if before and reach[before - 1] > m.start():
             continue
         kinds = [k for data in decoded(m[0]) if (k := structure(data))]
         if kinds:
