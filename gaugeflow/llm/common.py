@@ -59,3 +59,18 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str, stage_name: str) -
         .withColumn(name, (F.col("_before") + F.col("_row") - 1).cast("bigint"))
         .drop("_range", "_row", "_r", "_before")
     )
+
+
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """``text``, the ``needed`` columns and all columns but the text in one struct ``row``.
+
+    Whatever else the input calls its columns, a step that works on these names can't meet them.
+    """
+    rest = [F.col(f"`{c}`").alias(c) for c in docs.columns if c != "text"]
+    return docs.select("text", *needed, F.struct(*rest).alias("row"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``packed`` rows, some with new values."""
+    own = lambda c: F.col("text") if c == "text" else F.col("row").getField(c)
+    return [changed.get(c, own(c)).alias(c) for c in docs.columns]

@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from gaugeflow.llm.common import held_out
+from gaugeflow.llm.common import held_out, packed, unpacked
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -131,9 +132,9 @@ def predict(docs: DataFrame, languages: list[str], logs: np.ndarray) -> DataFram
             columns = [*batch.columns, pa.array(best), pa.array(top)]
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
 
-    own = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)]
-    n = len(own)
-    out = docs.mapInArrow(run, ", ".join([*own, f"c{n} string", f"c{n + 1} double"]))
+    n = len(docs.columns)
+    own = [StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)]
+    out = docs.mapInArrow(run, StructType([*own, StructField(f"c{n}", StringType()), StructField(f"c{n + 1}", DoubleType())]))
     return out.toDF(*docs.columns, "lang_pred", "score")
 
 
@@ -146,5 +147,6 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language is told with at least that probability, in their own columns."""
     model = train(docs.select("doc_id", "text", "lang"))
-    judged = predict(docs, *model)
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(docs.columns)
+    judged = predict(packed(docs), *model)
+    told = judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return told.select(*unpacked(told, docs))

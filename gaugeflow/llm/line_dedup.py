@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import SPACES, text_key
+from gaugeflow.llm.common import SPACES, packed, text_key, unpacked
 from gaugeflow.operators.skew import salted_lookup
 from gaugeflow.session import stage
 
@@ -61,15 +61,20 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MAR
 
 
 def dedup_lines(docs: DataFrame, **rules) -> DataFrame:
-    """``docs`` with cross-site boilerplate lines cut out, and ``_removed``, the number of lines cut."""
-    cut = boilerplate(docs, **rules).groupBy("doc_id", "key").agg(F.collect_set("pos").alias("_cut"))
-    cut = cut.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "_cut")
-    joined = docs.withColumn("_lines", F.split("text", "\n")).withColumn("_key", text_key(F.col("text"))).join(
-        cut, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left"
-    )
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_cut"))
-    text = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
-    out = joined.withColumn("text", F.when(F.col("_cut").isNotNull(), text).otherwise(F.col("text")))
+    """``docs`` with cross-site boilerplate lines cut out, and ``_removed``, the number of lines cut.
+
+    Where the input has a column ``_removed`` of its own, that one stays and the number is left out.
+    """
+    cut = boilerplate(docs, **rules).groupBy("doc_id", "key").agg(F.collect_set("pos").alias("cut"))
+    cut = cut.select(F.col("doc_id").alias("cut_id"), F.col("key").alias("cut_key"), "cut")
+    rows = packed(docs, "doc_id").withColumn("lines", F.split("text", "\n")).withColumn("key", text_key(F.col("text")))
+    joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("key") == F.col("cut_key")), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("cut"))
+    left = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
+    is_cut = F.col("cut").isNotNull()
+    out = joined.withColumn("text", F.when(is_cut, left).otherwise(F.col("text")))
+    changed = {}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.length("text")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns, F.coalesce(F.size("_cut"), F.lit(0)).alias("_removed"))
+        changed["n_chars"] = F.when(is_cut, F.length("text")).otherwise(F.col("row.n_chars"))
+    removed = [] if "_removed" in docs.columns else [F.coalesce(F.size("cut"), F.lit(0)).alias("_removed")]
+    return out.select(*unpacked(out, docs, **changed), *removed)

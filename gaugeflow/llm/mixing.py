@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import SPACE_RUN, ranked, text_key, word_count
+from gaugeflow.llm.common import SPACE_RUN, packed, ranked, text_key, unpacked, word_count
 from gaugeflow.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -129,17 +129,18 @@ def apply_mix(docs: DataFrame, **rules) -> DataFrame:
     taken = mix(docs, **rules).groupBy("doc_id", "text_key", "size").agg(
         F.floor(F.sum("taken") / F.count(F.lit(1))).cast("bigint").alias("_taken")
     )
-    taken = taken.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.col("size").alias("_size"), "_taken")
-    rows = docs.withColumn("_key", text_key(F.col("text"))).join(
-        taken.filter("_taken > 0"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
+    taken = taken.select(F.col("doc_id").alias("mix_id"), F.col("text_key").alias("mix_key"), "size", "_taken")
+    rows = packed(docs, "doc_id").withColumn("key", text_key(F.col("text"))).join(
+        taken.filter("_taken > 0"), F.col("doc_id").eqNullSafe(F.col("mix_id")) & (F.col("key") == F.col("mix_key"))
     )
-    size = F.greatest(F.col("_size"), F.lit(1))
+    size = F.greatest(F.col("size"), F.lit(1))
     whole = F.floor(F.col("_taken") / size).cast("int")
     rest = (F.col("_taken") % size).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.filter(F.array(rest), lambda r: r > 0))
-    out = rows.withColumn("_cut", F.explode(copies))
-    cut = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), SPACE_RUN), 1, F.col("_cut")), " ")
-    out = out.withColumn("text", F.when(F.col("_cut") > 0, cut).otherwise(F.col("text")))
+    out = rows.withColumn("cut", F.explode(copies))
+    first = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), SPACE_RUN), 1, F.col("cut")), " ")
+    out = out.withColumn("text", F.when(F.col("cut") > 0, first).otherwise(F.col("text")))
+    changed = {}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        changed["n_chars"] = F.when(F.col("cut") > 0, F.length("text")).otherwise(F.col("row.n_chars"))
+    return out.select(*unpacked(out, docs, **changed))
