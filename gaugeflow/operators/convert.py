@@ -14,7 +14,7 @@ from gaugeflow.functions import props, templates, times, values
 from gaugeflow.functions.templates import quoted
 from gaugeflow.model import RESULT_DECIMAL
 from gaugeflow.operators.lookup import map_datastream
-from gaugeflow.sources.records import data_columns
+from gaugeflow.sources.records import CELLS, data_columns
 
 Parser = Callable[[Column], Column]
 
@@ -51,7 +51,8 @@ _PASSED = ("src_file", "src_line", "seq")
 def _cell(df: DataFrame, spec: int | str, by_index: bool) -> Column:
     columns = data_columns(df)
     if isinstance(spec, int) or by_index:
-        return quoted(columns[int(spec)])
+        # By the place in the record's own file, where the scan tells it.
+        return F.coalesce(F.get(CELLS, F.lit(int(spec))), F.lit("")) if CELLS in df.columns else quoted(columns[int(spec)])
     return templates.path_template(spec, {c: t for c, t in df.dtypes if c in columns})
 
 
@@ -67,7 +68,7 @@ def _time_cells(df: DataFrame, specs: Sequence[int | str], by_index: bool) -> li
 def _raw(df: DataFrame, spec: Converter, by_index: bool) -> Column:
     """The cells a converter uses, still as text, as one struct."""
     columns = data_columns(df)
-    short = by_index and int(spec.result) >= len(columns)
+    short = by_index and CELLS not in df.columns and int(spec.result) >= len(columns)
 
     def times_of(name: str, specs: Sequence[int | str]) -> list[Column]:
         cells = _time_cells(df, specs, by_index)

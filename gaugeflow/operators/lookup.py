@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,20 +166,38 @@ def entity_index(df: DataFrame, by: str, order: str) -> DataFrame:
     return keep_one(df.filter(F.col(by).isNotNull()), [by], number.desc_nulls_last(), F.col(order).desc())
 
 
+HOT_CODE = 10_000
+CODE_SALTS = 16
+
+
 def match_suffix(
-    df: DataFrame, things: DataFrame, code: str, local_id: str, equal: Mapping[str, str], min_length: int = 1
+    df: DataFrame, things: DataFrame, code: str, local_id: str, equal: Mapping[str, str], min_length: int = 1, hot: int = HOT_CODE
 ) -> DataFrame:
     """Join on ``local_id`` ending with ``code`` plus equality of the ``equal`` columns.
 
-    Each local id is listed with all its endings, so the match is an equality join on the ending:
-    only true matches are produced, never all pairs that share a property. Empty codes match nothing.
+    Each local id is listed with its endings of the lengths that occur among the codes, so the match is an equality
+    join on the ending: only true matches are produced, never all pairs that share a property. Records whose code occurs
+    more than ``hot`` times are dealt to ``CODE_SALTS`` cells, and only the things with such an ending go to all of
+    these. Empty codes match nothing.
     """
-    endings = F.transform(
-        F.sequence(F.lit(min_length), F.greatest(F.length(local_id), F.lit(min_length))),
-        lambda n: F.right(F.col(local_id), n),
-    )
-    right = things.withColumn("_ending", F.explode(F.array_distinct(endings)))
-    condition = df[code] == right["_ending"]
-    for left_col, right_col in equal.items():
-        condition = condition & (df[left_col] == right[right_col])
-    return df.join(right, condition, "inner").filter(F.length(df[code]) >= min_length).drop("_ending")
+    named = df.filter(F.length(code) >= min_length)
+    # Distinct lengths: a scalar of at most as many numbers as the longest code has characters.
+    lengths = named.agg(F.collect_set(F.length(code))).scalar()
+    keys = [f"_e_{i}" for i in range(len(equal) + 1)]
+    counts = named.groupBy(code, *equal).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot)
+    counts = counts.select(*[F.col(c).alias(k) for c, k in zip([code, *equal], keys, strict=True)])
+
+    def with_heat(frame: DataFrame, on: Sequence[Column], salts: Column) -> DataFrame:
+        keyed = frame.select("*", *[c.alias(f"{k}x") for c, k in zip(on, keys, strict=True)])
+        same = reduce(and_, [F.col(f"{k}x") == F.col(k) for k in keys])
+        joined = keyed.join(counts.withColumn("_hot", F.lit(True)), same, "left").drop(*keys)
+        return joined.withColumn("_salt", F.explode(F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))))
+
+    one = F.array(F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")], F.monotonically_increasing_id()), F.lit(CODE_SALTS)).cast("int"))
+    left = with_heat(named, [F.col(c) for c in (code, *equal)], one).drop("_hot")
+    listed = things.withColumn("_n", F.explode(lengths)).filter(F.col("_n") <= F.length(local_id))
+    listed = listed.withColumn("_ending", F.right(F.col(local_id), F.col("_n"))).drop("_n")
+    right = with_heat(listed, [F.col("_ending"), *[F.col(c) for c in equal.values()]], F.sequence(F.lit(0), F.lit(CODE_SALTS - 1)))
+    right = right.drop("_hot", "_ending").withColumnsRenamed({"_salt": "_r_salt"} | {f"{k}x": f"{k}y" for k in keys})
+    condition = reduce(and_, [F.col(f"{k}x") == F.col(f"{k}y") for k in keys]) & (F.col("_salt") == F.col("_r_salt"))
+    return left.join(right, condition).drop("_salt", "_r_salt", *[f"{k}{s}" for k in keys for s in "xy"])

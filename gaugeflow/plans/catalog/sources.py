@@ -66,11 +66,65 @@ def row_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE line > 3 ORDER BY event_id LIMIT 777""",
 )
 def row_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = records.number_lines(records.read_records(spark, events_csv(spark, sf_dir), header=True))
-    kept = records.limit_rows(records.skip_rows(numbered, 3), 777, skipped=3)
+    kept = records.take_rows(records.read_records(spark, events_csv(spark, sf_dir), header=True), skip=3, limit=777)
     return kept.select(F.col("event_id").cast("bigint").alias("event_id"))
 
 
+# Each event type writes its own columns in its own order; errors have a cell more than titles in every second record.
+_LAYOUTS = {
+    "click": ["event_id", "value", "user_id"],
+    "view": ["user_id", "event_id", "value"],
+    "purchase": ["value", "user_id", "event_id", "seq"],
+    "error": ["event_id", "user_id"],
+    "signup": ["event_id", "value", "user_id"],
+}
+
+
+def _layout_files(spark: SparkSession, sf_dir: str) -> str:
+    def write(path: str) -> None:
+        e = table(spark, sf_dir, "events").withColumn("seq", F.lit("s"))
+        number = F.col("value").cast("decimal(18,2)").cast("string")
+        for name, columns in _LAYOUTS.items():
+            cells = [number if c == "value" else F.col(c).cast("string") for c in columns]
+            line = F.concat_ws(",", *cells)
+            if name == "error":  # a quoted cell without a title
+                line = F.when(F.col("event_id") % 2 == 0, F.concat(line, F.lit(',"v, ""'), number, F.lit('"""'))).otherwise(line)
+            rows = e.filter(F.col("event_type") == name).select(line.alias("line"))
+            head = spark.createDataFrame([(",".join(columns),)], "line string")
+            head.unionByName(rows).coalesce(1).write.text(f"{path}/{name}")
+
+    return staged(spark, sf_dir, "layouts", write)
+
+
+_LAYOUT_COLUMNS = """event_id, event_type, CASE WHEN event_type <> 'error' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) ELSE '' END AS value,
+    CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_type = 'purchase' THEN 's' ELSE '' END AS seq_title"""
+
+
+@query("scan_headers", f"SELECT {_LAYOUT_COLUMNS} FROM events")
+def scan_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with different titles in different orders, one of them a name of the library's own."""
+    rows = records.number_lines(records.read_records(spark, _layout_files(spark, sf_dir), header=True))
+    kind = F.regexp_extract("src_file", r"/([a-z]+)/[^/]*$", 1)
+    return rows.select(F.col("event_id").cast("bigint").alias("event_id"), kind.alias("event_type"), "value", "user_id", F.col("seq_").alias("seq_title"))
+
+
+@query(
+    "scan_ragged",
+    """WITH l AS (SELECT *, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS v FROM events)
+       SELECT event_id, CASE event_type WHEN 'view' THEN CAST(user_id AS VARCHAR) WHEN 'purchase' THEN v ELSE CAST(event_id AS VARCHAR) END AS first,
+              CASE event_type WHEN 'view' THEN v WHEN 'purchase' THEN CAST(event_id AS VARCHAR) WHEN 'error' THEN
+                   CASE WHEN event_id % 2 = 0 THEN concat('v, "', v, '"') ELSE '' END ELSE CAST(user_id AS VARCHAR) END AS third,
+              CASE event_type WHEN 'purchase' THEN 4 WHEN 'error' THEN 3 - event_id % 2 ELSE 3 END AS n FROM l""",
+)
+def scan_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files by number: every cell of every record in its file's order."""
+    rows = records.read_records(spark, _layout_files(spark, sf_dir), header=True)
+    return rows.select(
+        F.col("event_id").cast("bigint").alias("event_id"), F.get("cells", F.lit(0)).alias("first"),
+        F.coalesce(F.get("cells", F.lit(2)), F.lit("")).alias("third"), F.size("cells").cast("bigint").alias("n"),
+    )
+
+
 @query("charset_detect", "SELECT event_id, concat(event_type, ' µ') AS event_type, value FROM events")
 def charset_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors and purchases arrive in UTF-16 with a byte order mark, the rest in UTF-8."""
@@ -106,10 +160,8 @@ def manifest_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     base = F.concat(F.lit("https://data.example/"), "p_brand", F.lit("/{a}/{b}.csv"))
-    combos = manifest.manifest_combinations(
-        base, [("{a}", manifest.values_static(["north", "south", "west"])), ("{b}", F.array("p_type", "p_name"))]
-    )
-    return p.select("p_partkey", F.explode(combos).alias("c")).select("p_partkey", "c.url", "c.ord")
+    sets = [("{a}", manifest.values_static(["north", "south", "west"])), ("{b}", F.array("p_type", "p_name"))]
+    return manifest.manifest_combinations(p, base, sets, block=4).select("p_partkey", "url", "ord")
 
 
 @query(
@@ -452,6 +504,28 @@ def feature_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples_df(spark, sf_dir).select("local_id", "description", "lon", "lat")
 
 
+def _broken_files(spark: SparkSession, sf_dir: str) -> str:
+    """Suppliers as sample features: some cut off inside a tag, some without an id, one file ends within an element."""
+    s = table(spark, sf_dir, "supplier")
+    number = F.col("s_suppkey")
+    attribute = F.when(number % 5 == 0, "").otherwise(F.concat(F.lit(' gml:id="SAM.'), number.cast("string"), F.lit('"')))
+    body = F.when(number % 3 == 0, "<aqd:inspireId><base:Identifier>").otherwise('<sams:shape><gml:Point srsName="EPSG:4326"><gml:pos>1 2</gml:pos></gml:Point></sams:shape>')
+    xml = F.concat(F.lit(f"<aqd:AQD_Sample {_NS}"), attribute, F.lit(">"), body, F.lit("</aqd:AQD_Sample>"))
+    whole = s.select(xml.alias("value"))
+    cut = spark.createDataFrame([(f'<aqd:AQD_Sample {_NS} gml:id="CUT"><sams:shape><gml:Point>',)], "value string")
+    return staged(spark, sf_dir, "broken_xml", lambda path: whole.unionByName(cut).write.text(path))
+
+
+@query(
+    "feature_rejects",
+    """SELECT CASE WHEN s_suppkey % 5 <> 0 THEN concat('SAM.', s_suppkey) END AS local_id,
+              CASE WHEN s_suppkey % 3 = 0 THEN 'Unreadable element' ELSE 'Element without id' END AS reject
+       FROM supplier WHERE s_suppkey % 3 = 0 OR s_suppkey % 5 = 0 UNION ALL SELECT 'CUT', 'Unreadable element'""",
+)
+def feature_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.feature_rejects(spark, _broken_files(spark, sf_dir), "aqd:AQD_Sample", features.SAMPLE).select("local_id", "reject")
+
+
 @query(
     "feature_datastreams",
     f"""WITH j AS (

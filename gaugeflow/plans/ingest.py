@@ -28,8 +28,7 @@ def _records(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
     skip, limit = spec.get("skip", 0), spec.get("limit", 0)
     if not (spec.get("ordered", True) or skip or limit):
         return rows.withColumnRenamed("row_id", "seq")
-    rows = records.number_lines(rows)
-    return records.limit_rows(records.skip_rows(rows, skip), limit, skip)
+    return records.take_rows(rows, skip, limit)
 
 
 def validators_of(specs, tables) -> list:

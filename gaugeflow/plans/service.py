@@ -78,6 +78,8 @@ def reconcile_network(
     """Entities of the features in ``sources`` (paths per name of ``TAGS``), merged into the target's tables."""
     read = {name: features.read_features(spark, path, *TAGS[name]) for name, path in sources.items()}
     held = _Tables(tables)
+    for name, path in sources.items():
+        held.reject(f"{name} element", features.feature_rejects(spark, path, *TAGS[name]))
     pollutants = stations.pollutant_dim(spark).drop("op_id")
     held.merge("observed_properties", pollutants, compare=["name", "description"], create_only=["definition"])
     if "stations" in read:

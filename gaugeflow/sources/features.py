@@ -59,12 +59,32 @@ def read_features(spark: SparkSession, paths: str | list[str], tag: str, schema:
     The text is cut at the element's end tag, which lets Spark split a file of any size over tasks;
     each piece is then parsed on its own.
     """
+    # A generator, so that filters on the fields stay above it and each piece is parsed once.
+    parsed = F.from_xml(F.col("element"), schema, {"ignoreNamespace": "true"})
+    return _elements(spark, paths, tag).select(F.inline(F.array(parsed)))
+
+
+def _elements(spark: SparkSession, paths: str | list[str], tag: str) -> DataFrame:
+    """The text of each element ``tag``; one that the file ends in is closed, and will not parse."""
     pieces = spark.read.option("lineSep", f"</{tag}>").option("recursiveFileLookup", True).text(paths)
     opening = F.regexp_extract("value", rf"(?s)<{re.escape(tag)}[\s>].*", 0)
-    elements = pieces.select(opening.alias("element")).filter(F.col("element") != "")
-    whole = F.concat("element", F.lit(f"</{tag}>"))
-    # A generator, so that filters on the fields stay above it and each piece is parsed once.
-    return elements.select(F.inline(F.array(F.from_xml(whole, schema, {"ignoreNamespace": "true"}))))
+    elements = pieces.select(opening.alias("element"), F.col("_metadata.file_path").alias("src_file")).filter(F.col("element") != "")
+    return elements.withColumn("element", F.concat("element", F.lit(f"</{tag}>")))
+
+
+def feature_rejects(spark: SparkSession, paths: str | list[str], tag: str, schema: str) -> DataFrame:
+    """Elements that ``read_features`` gives no usable row for: ``src_file, local_id, reject, element``.
+
+    An element that is no XML, or whose parts don't fit the schema, is unreadable; its id is taken from its text
+    where it has one. One without an id can't be referred to.
+    """
+    whole = f"{schema}, _unreadable string"
+    parsed = F.from_xml(F.col("element"), whole, {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_unreadable"})
+    rows = _elements(spark, paths, tag).select("src_file", "element", F.explode(F.array(parsed)).alias("p"))
+    named = F.nullif(F.regexp_extract("element", r"""^<[^>]*?[\s:]id\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
+    no_id = F.coalesce(F.trim("p._id"), F.lit("")) == ""
+    reject = F.when(F.col("p._unreadable").isNotNull(), "Unreadable element").when(no_id, "Element without id")
+    return rows.select("src_file", F.coalesce("p._id", named).alias("local_id"), reject.alias("reject"), "element").filter("reject IS NOT NULL")
 
 
 def _text(path: str) -> Column:

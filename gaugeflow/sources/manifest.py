@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,33 +41,29 @@ def values_time_strings(
     )
 
 
-def _extend(key: str, values: Column, radix: Column):
-    """Function from one partial combination to its continuations by each of the values."""
+def manifest_combinations(df: DataFrame, base: Column, sets: Sequence[tuple[str, Column]], block: int = 100_000) -> DataFrame:
+    """Every combination of replacement values: the columns of ``df`` with ``url`` and ``ord``.
 
-    def extend(combo: Column) -> Column:
-        return F.transform(
-            values,
-            lambda v, i: F.struct(
-                F.replace(combo["url"], F.lit(key), v).alias("url"),
-                (combo["ord"] + i * radix).cast("bigint").alias("ord"),
-            ),
-        )
-
-    return extend
-
-
-def manifest_combinations(base: Column, sets: Sequence[tuple[str, Column]]) -> Column:
-    """Every combination of replacement values, as ``array<struct(url, ord)>``; explode to use.
-
-    ``sets`` pairs a text to replace with an array column. The first set varies fastest. The
-    combinations belong to one configuration row, so they are built inside it: no cross join.
+    ``sets`` pairs a text to replace in ``base`` with an array of values. The first set varies fastest. A combination is
+    a number in mixed radix, and its values are found from the number alone: the numbers of a row are cut into
+    blocks of ``block`` that are dealt over the cluster, so no task holds a whole product. A set without values
+    has no combination.
     """
-    combos = F.array(F.struct(base.alias("url"), F.lit(0).cast("bigint").alias("ord")))
-    radix = F.lit(1).cast("bigint")
-    for key, values in sets:
-        combos = F.flatten(F.transform(combos, _extend(key, values, radix)))
-        radix = radix * F.size(values)
-    return F.array_sort(combos, lambda a, b: (a["ord"] - b["ord"]).cast("int"))
+    total = reduce(lambda x, y: x * y, [F.size(v).cast("bigint") for _, v in sets], F.lit(1).cast("bigint"))
+    rows = df.select("*", base.alias("_base"), *[v.alias(f"_v{i}") for i, (_, v) in enumerate(sets)], total.alias("_total"))
+    last = F.floor((F.col("_total") - 1) / F.lit(block)).cast("bigint")
+    blocks = rows.filter("_total > 0").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    # A fixed number of partitions: blocks are few bytes but much work, so they must not be coalesced.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, F.xxhash64("_base", "_block"))
+    first = F.col("_block") * block
+    numbers = spread.withColumn("ord", F.explode(F.sequence(first, F.least(first + block, F.col("_total")) - 1)))
+    url, rest = F.col("_base"), F.col("ord")
+    for i, (key, _) in enumerate(sets):
+        size = F.size(f"_v{i}").cast("bigint")
+        url = F.replace(url, F.lit(key), F.get(f"_v{i}", (rest % size).cast("int")))
+        rest = F.floor(rest / size).cast("bigint")
+    return numbers.select(*df.columns, url.alias("url"), "ord")
 
 
 def _character_class(chars: str) -> str:

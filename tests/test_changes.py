@@ -115,6 +115,10 @@ def test_suffix_match_against_brute_force(spark):
     got = {(r["code"], r["id"]) for r in lookup.match_suffix(codes, things, "code", "local_id", {"p": "prop"}).collect()}
     want = {(c["code"], t["id"]) for c in codes.collect() for t in things.collect() if c["code"] and t["prop"] == c["p"] and t["local_id"].endswith(c["code"])}
     assert got == want
+    hot = codes.unionByName(codes.filter("code = '7'").withColumn("code", F.explode(F.array_repeat("code", 50))))  # one code many times
+    found = lookup.match_suffix(hot, things, "code", "local_id", {"p": "prop"}, hot=10)
+    assert found.filter("code = '7'").count() == 51 * len([1 for c, _ in want if c == "7"])
+    assert {(r["code"], r["id"]) for r in found.collect()} == want and found.columns == ["code", "p", "id", "local_id", "prop"]
 
 
 def test_reconcile_latest_incoming_wins(spark):

@@ -76,11 +76,10 @@ def test_charsets(spark, folder, encoding, found):
     assert records.data_columns(rows) == ["naïve", "µ"] and rows.first()["µ"] == "2"
 
 
-def test_manifest_combinations(values):
-    got = values(
-        manifest.manifest_combinations(F.lit("A-B"), [("A", manifest.values_static(["1", "2"])), ("B", manifest.values_static(["x", "y"]))])
-    )
-    assert [r["url"] for r in got] == ["1-x", "2-x", "1-y", "2-y"]
+def test_manifest_combinations(spark):
+    sets = [("A", manifest.values_static(["1", "2"])), ("B", manifest.values_static(["x", "y"]))]
+    out = manifest.manifest_combinations(spark.range(1), F.lit("A-B"), sets, block=3)
+    assert [(r["url"], r["ord"]) for r in out.orderBy("ord").collect()] == [("1-x", 0), ("2-x", 1), ("1-y", 2), ("2-y", 3)]
 
 
 def test_manifest_expand(spark):
@@ -227,3 +226,58 @@ def test_each_file_has_its_own_header(spark, tmp_path):
 
 def test_charsets_of_an_empty_folder(spark, tmp_path):
     assert records.read_detected(spark, str(tmp_path)).count() == 0
+
+
+def test_cells_by_number_follow_each_file(spark, folder):
+    write(folder, "a.csv", "t,a,b\n2024-01-01T00:00:00Z,1,x\n")
+    write(folder, "b.csv", "b,a,t\n20,10,2024-01-02T00:00:00Z\n")
+    rows = records.read_records(spark, str(folder), header=True)
+    by_name = convert.Converter(result="a", phen_time=["t"], ds_id="x")
+    assert sorted(float(r["result_num"]) for r in convert.to_observations_by_name(rows, by_name).collect()) == [1.0, 10.0]
+    by_number = convert.Converter(result=0, phen_time=[2], ds_id="x")
+    out = {r["result_text"]: r["reject"] for r in convert.to_observations_by_index(rows, by_number).collect()}
+    assert out["20"] is None and out["2024-01-01T00:00:00Z"] == "Could not parse time"
+
+
+def test_no_cell_is_lost(spark, folder):
+    write(folder, "a.csv", 'seq,src_file\n1,2\n3,4,5\n6\n7,8,"a,""b""",\n')
+    rows = records.number_lines(records.strip_nulls(records.read_records(spark, str(folder), header=True)))
+    got = [(r["seq_"], r["src_file_"], r["cells"], r["src_line"]) for r in rows.orderBy("seq").collect()]
+    assert got == [("1", "2", ["1", "2"], 1), ("3", "4", ["3", "4", "5"], 2), ("6", "", ["6", ""], 3), ("7", "8", ["7", "8", 'a,"b"', ""], 4)]
+    assert records.data_columns(rows) == ["seq_", "src_file_"] and len(set(rows.columns)) == len(rows.columns)
+    third = convert.to_observations_by_index(rows, convert.Converter(result=2, phen_time=[0], ds_id="x"))
+    assert [r["result_text"] for r in third.orderBy("seq").collect()][1] == "5"
+
+
+@pytest.mark.parametrize("skip, limit", [(0, 0), (2, 0), (0, 7), (3, 5), (1, 1000), (50, 3)])
+def test_taken_rows(spark, folder, skip, limit):
+    files = {f"{k}.csv": [f"{k}{i}" for i in range(n)] for k, n in (("a", 4), ("b", 1), ("c", 9), ("d", 3))}
+    for name, lines in files.items():
+        write(folder, name, "h\n" + "\n".join(lines) + "\n")
+    rows = records.take_rows(records.read_records(spark, str(folder), header=True), skip, limit)
+    kept = [v for lines in files.values() for v in lines[skip:]]
+    assert [r["h"] for r in rows.orderBy("seq").collect()] == (kept[:limit] if limit else kept)
+    if limit == 7:
+        assert {r["src_file"][-5:] for r in rows.select("src_file").distinct().collect()} == {"a.csv", "b.csv", "c.csv"}
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("] csv") <= 1  # the counting scan is done; the records are read once
+
+
+def test_a_product_of_ten_million_is_cut_into_many_tasks(spark):
+    row = spark.createDataFrame([(1, [str(i) for i in range(1000)], [str(i) for i in range(100)], ["x"] * 100)], "id int, a array<string>, b array<string>, c array<string>")
+    sets = [("{a}", F.col("a")), ("{b}", F.col("b")), ("{c}", F.col("c"))]
+    out = manifest.manifest_combinations(row, F.lit("{a}/{b}/{c}"), sets).drop("a", "b", "c")
+    counts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 10_000_000 and len(counts) > 4 and max(counts) < 5_000_000
+    assert [r["url"] for r in out.filter("ord IN (0, 1, 1001, 9999999)").orderBy("ord").collect()] == ["0/0/x", "1/0/x", "1/1/x", "999/99/x"]
+    empty = manifest.manifest_combinations(row, F.lit("{a}"), [("{a}", F.array().cast("array<string>"))])
+    assert empty.count() == 0
+
+
+def test_unreadable_elements_are_told(spark, folder):
+    good = '<a:X xmlns:a="a" xmlns:g="g" g:id="1"><a:shape/></a:X>'
+    write(folder, "a.xml", f'<all>{good}<a:X xmlns:a="a" xmlns:g="g" g:id="2"><a:shape></a:X>\n<a:X xmlns:a="a"><a:shape/></a:X></all>')
+    write(folder, "b.xml", f'<all>{good.replace("1", "3", 1)}<a:X xmlns:a="a" xmlns:g="g" g:id="4"><a:sha')
+    out = features.feature_rejects(spark, str(folder), "a:X", features.SAMPLE)
+    got = sorted((r["local_id"] or "", r["reject"], r["src_file"][-5:]) for r in out.collect())
+    assert got == [("", "Element without id", "a.xml"), ("2", "Unreadable element", "a.xml"), ("4", "Unreadable element", "b.xml")]
