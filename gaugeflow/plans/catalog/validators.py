@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import aggregate, apply, validate
+from gaugeflow.operators import aggregate, apply, days, validate
 from gaugeflow.plans.catalog.base import (
     SQL_INTERVALS,
     incoming,
@@ -16,10 +16,12 @@ from gaugeflow.plans.catalog.base import (
     obs,
     query,
     sql_ts,
+    staged,
     stored,
     ts,
     with_views,
 )
+from gaugeflow.session import stage
 
 _NOW = "2024-01-20 12:30:00"
 
@@ -180,17 +182,37 @@ def params_and_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("action", F.when(F.col("action") != "insert", F.col("obs_id")).alias("stored_id"), "seq")
 
 
-@query(
-    "apply_changes",
-    _upsert_sql(
-        f"""SELECT ds_id, {sql_ts("phen_start")} AS phen_start, round(result_num, 6) AS result_num FROM stored_hour
-              WHERE obs_id NOT IN (SELECT stored_id FROM changes WHERE action = 'update')
-            UNION ALL SELECT ds_id, {sql_ts("phen_start")}, round(result_num, 6) FROM changes WHERE action <> 'skip'"""
-    ),
+_APPLIED_SQL = _upsert_sql(
+    f"""SELECT obs_id AS stored_id, ds_id, {sql_ts("phen_start")} AS phen_start, round(result_num, 6) AS result_num, k, seq FROM stored_hour
+          WHERE obs_id NOT IN (SELECT stored_id FROM changes WHERE action = 'update')
+        UNION ALL SELECT stored_id, ds_id, {sql_ts("phen_start")}, round(result_num, 6), k, seq FROM changes WHERE action <> 'skip'"""
 )
+
+
+def _applied(df: DataFrame) -> DataFrame:
+    """The table after a change set; ids made for inserts are hashes and shown as NULL."""
+    return df.select(
+        F.when(F.length("obs_id") < 64, F.col("obs_id")).alias("stored_id"), "ds_id", ts("phen_start").alias("phen_start"),
+        num("result_num").alias("result_num"), F.element_at("parameters", F.lit("k")).alias("k"), "seq",
+    )
+
+
+@query("apply_changes", _APPLIED_SQL)
 def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = apply.apply_changes(stored(spark, sf_dir, "hour"), upsert_changes(spark, sf_dir))
-    return out.select("ds_id", ts("phen_start").alias("phen_start"), num("result_num").alias("result_num"))
+    return _applied(apply.apply_changes(stored(spark, sf_dir, "hour"), upsert_changes(spark, sf_dir)))
+
+
+@query("apply_by_day", _APPLIED_SQL)
+def apply_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stored table, of which only the days the changes touch are read and written."""
+    held = stored(spark, sf_dir, "hour")
+    root = staged(spark, sf_dir, "day_table", lambda path: days.create_days(held, path))
+    first = days.read_pointer(spark, root, 0)
+    # The deliveries of a whole table correct only some days' results: those days are touched.
+    table_then = days.read_days(spark, root, held.schema, first)
+    changes = stage(validate.validate_by_time(incoming(spark, sf_dir, "hour"), table_then), "day-changes")
+    after = days.apply_by_day(spark, root, changes, held.schema, first, same_time=True)
+    return _applied(days.read_days(spark, root, held.schema, after))
 
 
 @query("apply_dry_run", _upsert_sql("SELECT action, count(*) AS n FROM changes GROUP BY action"))
