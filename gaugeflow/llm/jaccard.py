@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import text_key
+from gaugeflow.llm.common import packed, text_key, unpacked
 from gaugeflow.operators.skew import salted_lookup
 from gaugeflow.session import stage
 
@@ -49,7 +49,7 @@ SHINGLE = 5
 LEAST_PERCENT = 80
 HEAVY_TOKENS = 1 << 20
 HEAVY_LEAST = 16
-FLUSH = 1 << 22  # tokens a task holds before it sends their counts
+FLUSH = 1 << 20  # tokens a task holds before it sends them or their counts
 SEGMENT = 1 << 20  # bytes hashed at once
 SMALL = 8
 HEAVY_SALTS = 64
@@ -125,10 +125,13 @@ def classes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column(2).to_pylist()]
-            n = pa.array([len(s) for s in sets], pa.int64())
-            node = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n, node], ["doc_id", "key", "n", "node"])
+            sizes, nodes = [], []
+            for text in batch.column(2):
+                own = shingles(text.as_py())
+                sizes.append(len(own))
+                nodes.append(set_hash(own) if len(own) else None)
+            arrays = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, key bigint, n bigint, node bigint")
@@ -180,13 +183,13 @@ def _frequent(table: pa.Table, ranges: int) -> pa.Table:
 def heavy_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent leading token halves in order, with the number of documents that hold each."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(65536, 1 << max(0, partitions - 1).bit_length())
+    ranges = min(65536, 1 << max(0, 4 * partitions - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append((shingles(text) >> np.uint64(32)).astype(np.uint32))
+            for text in batch.column(0):
+                held.append((shingles(text.as_py()) >> np.uint64(32)).astype(np.uint32))
                 size += len(held[-1])
                 if size >= FLUSH:
                     yield _packed(held, ranges)
@@ -230,22 +233,29 @@ def postings(docs: DataFrame, heavy) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = heavy.value
         sent: set[int] = set()  # copies in one task are sent once
+        held: list[tuple] = []
+        size = 0
+
+        def sending() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "heavy", "node", "n", "room"])
+
         for batch in batches:
-            tokens, often, nodes, sizes, rooms = [], [], [], [], []
-            for text in batch.column(0).to_pylist():
-                own = shingles(text)
+            for text in batch.column(0):
+                own = shingles(text.as_py())
                 node = set_hash(own)
-                if len(own) and node not in sent:
-                    sent.add(node)
-                    half, is_heavy, room, _ = prefix(own, known, frequency)
-                    tokens.append(half.view(np.int32))
-                    often.append(is_heavy)
-                    nodes.append(np.full(len(half), node, dtype=np.int64))
-                    sizes.append(np.full(len(half), len(own), dtype=np.int32))
-                    rooms.append(room.astype(np.int32))
-            if nodes:
-                columns = [np.concatenate(c) for c in (tokens, often, nodes, sizes, rooms)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "heavy", "node", "n", "room"])
+                if not len(own) or node in sent:
+                    continue
+                sent.add(node)
+                half, is_heavy, room, _ = prefix(own, known, frequency)
+                n = len(half)
+                held.append((half.view(np.int32), is_heavy, np.full(n, node, np.int64), np.full(n, len(own), np.int32), room.astype(np.int32)))
+                size += n
+                if size >= FLUSH:
+                    yield sending()
+                    held, size = [], 0
+        if held:
+            yield sending()
 
     rows = docs.select("text").mapInArrow(run, "token int, heavy boolean, node bigint, n int, room int")
     # A frequent token is held by more than one set anyway, so its sets may be dealt to several tasks.
@@ -328,6 +338,12 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
+def _sent(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "match", "lead", "tokens"])
+
+
 class _Verifier:
     """Keeps the verified links of candidate pairs; sets are computed for the texts that need them."""
 
@@ -357,17 +373,19 @@ class _Verifier:
                 row = batch.column(0).to_numpy()
                 place = np.mod(row, FILTER_BITS)
                 hit = (table[place // 64] >> (np.mod(row, 64))) & 1
-                out = []
+                out, size = [], 0
                 for i in np.flatnonzero(hit).tolist():
+                    if size >= FLUSH:
+                        yield _sent(out)
+                        out, size = [], 0
                     own = shingles(batch.column(1)[i].as_py())
                     node = set_hash(own)
                     if len(own) and node not in sent:
                         sent.add(node)
                         lead, _, _, match = prefix(own, known, frequency)
                         out.append((node, match, lead.tobytes(), own.tobytes()))
-                columns = list(zip(*out, strict=True)) or [[]] * 4
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "match", "lead", "tokens"])
+                        size += len(own)
+                yield _sent(out)
 
         hashed = rows.mapInArrow(run, "node bigint, match bigint, lead binary, tokens binary")
         once = hashed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("match", "lead", "tokens")])
@@ -469,10 +487,11 @@ def keyed_components(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, and all without a word, in the columns of ``docs``."""
-    heads = keyed_components(docs).filter("first").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("n_shingles").alias("_n"))
-    heads = heads.distinct()
-    rows = docs.withColumn("_key", text_key(F.col("text"))).join(
-        heads, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
+    heads = keyed_components(docs).filter("first").select(F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"), "n_shingles").distinct()
+    rows = packed(docs, "doc_id").withColumn("key", text_key(F.col("text"))).join(
+        heads, F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
     )
-    order = Window.partitionBy("_d", "_k").orderBy(F.xxhash64(*docs.columns))
-    return rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1 OR _n = 0").select(docs.columns)
+    # Rows equal in id and text differ in their other columns at most: the first by content stays.
+    order = Window.partitionBy("head_id", "head_key").orderBy(F.to_json("row"))
+    kept = rows.withColumn("rank", F.row_number().over(order)).filter("rank = 1 OR n_shingles = 0")
+    return kept.select(*unpacked(kept, docs))

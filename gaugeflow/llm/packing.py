@@ -6,8 +6,8 @@ pieces of ``LENGTH``; every remainder stays in one piece. Pieces are dealt to ra
 found by descending a tournament tree over the free room of the sequences. Then the sequences left emptiest are
 taken apart to fill the gaps of the others, so that about one sequence per group keeps padding.
 
-Ids are those of ``tokenizers`` without added special tokens. Words between single blanks are looked up in a
-bounded memo per process and what is missing is encoded in one call per batch; any text where the blanks don't
+Ids are those of ``tokenizers`` without added special tokens. Words between single blanks are looked up in a memo
+of bounded size per process and what is missing is encoded in one call per text; any text where the blanks don't
 separate words for the tokenizer (two spaces in a row, rare scripts, special strings) is encoded whole.
 
 Defined results: null text is empty (its only id is END); rows with equal or null ids are packed each; an empty
@@ -19,6 +19,7 @@ the pieces that may be cut again, which carry theirs.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -35,10 +36,12 @@ from gaugeflow.session import stage
 LENGTH = 2048
 END = 1
 GROUP = 8192
-MEMO = 300_000
-LONGEST_WORD = 200  # longer words are not kept in the memo
+MEMO_BYTES = 48 << 20  # what the words kept by a process may take
+ENTRY_BYTES = 200  # of a kept word besides its letters
+LONGEST_WORD = 200  # longer words are not kept
 TOKENIZER = "byte_bpe_50k.json"
-UNEVEN = re.compile(r"\s | \s|[^\x00-\u024f]|<\|")
+RARE = re.compile(r"[^\x00-\u024f]|<\|")  # what the ranks may split in another way than the library
+UNEVEN = re.compile(r"\s | \s")
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -46,12 +49,17 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit numbers."""
 
     def __init__(self, path: str):
+        self.path = path
+        self.memo: dict[str, bytes] = {}
+        self.held = 0
+        self.fast = self._ranks(path)
+
+    @functools.cached_property
+    def tokenizer(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
-        self.fast = self._ranks(path)
+        return Tokenizer.from_file(self.path)
 
     def _ranks(self, path: str):
         """The same merges as ranks, if they lie beside the file: about four times as fast."""
@@ -71,36 +79,45 @@ class Encoder:
         return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """The ids of a text by the library, or by the ranks where these can't differ."""
+        if self.fast is None or RARE.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Encode words, each behind a blank, in one call and cut the ids where the words' bytes end."""
         if not missing:
-            return
+            return {}
         ids = np.array(self.fast.encode_ordinary(" " + " ".join(missing)), dtype="<u4")
         ends = np.cumsum([len(w.encode()) + 1 for w in missing])
         cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-        data, at = ids.tobytes(), 0
+        data, at, found = ids.tobytes(), 0, {}
         for word, cut in zip(missing, cuts.tolist(), strict=True):
-            self.memo[word] = data[at * 4 : cut * 4]
+            found[word] = data[at * 4 : cut * 4]
             at = cut
+        return found
 
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        if self.fast is None:
-            yield from map(self.whole, texts)
-            return
-        if len(self.memo) > MEMO:
+    def _keep(self, found: dict[str, bytes]) -> None:
+        """Keep words for later texts; when they take too much all are dropped."""
+        size = sum(len(w) + len(ids) + ENTRY_BYTES for w, ids in found.items() if len(w) <= LONGEST_WORD)
+        if self.held + size > MEMO_BYTES:
             self.memo.clear()
-        for text in texts:
-            if not text or text[0] == " " or text[-1] == " " or UNEVEN.search(text):
-                yield self.whole(text)
-                continue
-            first, *rest = text.split(" ")
-            # looked up word by word: a difference with the memo's keys would walk the whole memo for each text
-            self._learn(sorted({w for w in rest if w not in self.memo}))
-            yield np.array(self.fast.encode_ordinary(first), dtype="<u4").tobytes() + b"".join(map(self.memo.__getitem__, rest))
-            if len(self.memo) > 2 * MEMO:
-                self.memo.clear()
+            self.held = 0
+        if size <= MEMO_BYTES:
+            self.memo.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_WORD)
+            self.held += size
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or not text or text[0] == " " or text[-1] == " " or RARE.search(text) or UNEVEN.search(text):
+            return self.whole(text)
+        first, *rest = text.split(" ")
+        memo = self.memo
+        # looked up word by word: a difference with the memo's keys would walk the whole memo for each text
+        found = self._learn(sorted({w for w in rest if w not in memo}))
+        start = np.array(self.fast.encode_ordinary(first), dtype="<u4").tobytes()
+        data = start + b"".join([memo[w] if w in memo else found[w] for w in rest])
+        self._keep(found)
+        return data
 
 
 def encoder(path: str) -> Encoder:
@@ -170,23 +187,23 @@ def fill_gaps(bins: list[list[int]], sizes: list[int], room: int = LENGTH) -> li
     return [p for p in parts if p]
 
 
-PIECE = "doc_id bigint, key bigint, start bigint, length bigint, doc_tokens bigint, ids binary, crc bigint"
+PIECE = "key bigint, start bigint, length bigint, doc_tokens bigint, ids binary, crc bigint"
 
 
 def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
     """The pieces of every document; remainders carry their ids, whole sequences only the checksum."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     end = np.array([END], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         names = ["doc_id", "key", "start", "length", "doc_tokens", "ids", "crc"]
-        kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
         for batch in batches:
+            kinds = [batch.schema.field(0).type] + [pa.int64()] * 4 + [pa.binary(), pa.int64()]
             out = []
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc_id, key, data in zip(ids, keys, encode.batch(batch.column(2).to_pylist()), strict=True):
-                data += end
+            for doc_id, key, text in zip(ids, keys, batch.column(2), strict=True):
+                data = encode.encode(text.as_py()) + end
                 total = len(data) // 4
                 for start in range(0, total, LENGTH):
                     part = data[start * 4 : (start + LENGTH) * 4]
@@ -195,12 +212,12 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return rows.mapInArrow(run, PIECE)
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {PIECE}")
 
 
 def _pack(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
-    rows.sort(key=lambda r: (-r["length"], r["doc_id"] is not None, r["doc_id"] or 0, r["key"], r["start"]))
+    rows.sort(key=lambda r: (-r["length"], r["doc_id"] is not None, () if r["doc_id"] is None else (r["doc_id"],), r["key"], r["start"]))
     sizes = [r["length"] for r in rows]
     out = []
     for place, parts in enumerate(fill_gaps(first_fit_decreasing(sizes), sizes)):
@@ -213,7 +230,8 @@ def _pack(table: pa.Table) -> pa.Table:
             offset += n
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     columns = list(zip(*out, strict=True)) or [[]] * len(names)
-    return pa.table([pa.array(c, pa.int64()) for c in columns], names)
+    kinds = [table.schema.field("doc_id").type] + [pa.int64()] * 6
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -221,7 +239,7 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
     cut = stage(pieces(docs, tokenizer), "packing-pieces")
     groups = max(1, -(-cut.count() // GROUP))
     group = F.pmod(F.xxhash64(F.lit(11), "doc_id", "key", "start"), F.lit(groups)).alias("bin_group")
-    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     return cut.select("*", group).groupBy("bin_group").applyInArrow(_pack, schema)
 
 

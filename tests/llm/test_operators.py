@@ -208,7 +208,25 @@ def test_packing(docs):
 def test_encoder_agrees_with_the_tokenizer():
     encode = packing.encoder(packing.default_tokenizer())
     texts = ["a  b", " a", "it's \n\n x", "é🙂 ok", "<|endoftext|> a", "a b\n", "a\tb c\n\nd e's", "x " * 50 + "y", "naïve über-alles 12,345.6"]
-    assert list(encode.batch(texts)) == [encode.whole(t) for t in texts]
+    by_library = [np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert [encode.encode(t) for t in texts] == by_library
+    assert [encode.whole(t) for t in texts] == by_library
+
+
+def test_kept_words_stay_within_their_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_BYTES", 5000)
+    encode, rng = packing.Encoder(packing.default_tokenizer()), random.Random(1)
+    for _ in range(50):
+        text = "a " + " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 300))) for _ in range(30))
+        ids = np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        assert encode.encode(text) == ids.tobytes()
+        assert encode.held <= 5000 and all(len(w) <= packing.LONGEST_WORD for w in encode.memo)
+
+
+def test_packing_of_text_ids(spark):
+    docs = spark.createDataFrame([("k", "one two"), (None, "three"), ("j", None)], "doc_id string, text string")
+    rows = packing.pack(docs, packing.default_tokenizer()).collect()
+    assert sorted((r.doc_id or "", r.length, r.sequence_id) for r in rows) == [("", 2, 0), ("j", 1, 0), ("k", 3, 0)]
 
 
 def test_first_fit_decreasing():
