@@ -36,7 +36,7 @@ from gaugeflow.session import stage
 LENGTH = 2048
 END = 1
 GROUP = 8192
-MEMO_BYTES = 48 << 20  # what the words kept by a process may take
+MEMO_BYTES = 64 << 20  # what the words kept by a process may take
 ENTRY_BYTES = 200  # of a kept word besides its letters
 LONGEST_WORD = 200  # longer words are not kept
 TOKENIZER = "byte_bpe_50k.json"
