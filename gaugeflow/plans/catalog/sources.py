@@ -355,8 +355,17 @@ def response_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "foi_id", "response_reject")
 
 
-def _write_text(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> str:
-    return staged(spark, sf_dir, name, lambda path: spread(df, "value").write.text(path))
+_PER_TEXT_FILE = 500_000
+
+
+def _write_text(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, dealt: bool = False) -> str:
+    """Text files of at most so many rows, compressed. ``dealt``: the rows come from a shuffle, which isn't run to count its parts."""
+
+    def write(path: str) -> None:
+        rows = df if dealt else spread(df, "value")
+        rows.write.option("compression", "gzip").option("maxRecordsPerFile", _PER_TEXT_FILE).text(path)
+
+    return staged(spark, sf_dir, name, write)
 
 
 _NS = (
@@ -549,6 +558,8 @@ def feature_datastreams(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(c: str):
         return F.col(c).cast("string")
 
+    # One row per point before its text is built: the same points without shuffling whole elements.
+    j = j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "o_custkey", _part_code().alias("code")).distinct()
     point = F.concat_ws(".", F.lit("SPO"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"), "l_returnflag")
     xml = F.concat(
         F.lit(f'<aqd:AQD_SamplingPoint {_NS} gml:id="'), F.col("point"),
@@ -560,8 +571,8 @@ def feature_datastreams(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('.1.1"/></ef:ObservingCapability></ef:observingCapability><ef:broader xlink:href="http://x.example/STA.'),
         text("o_custkey"), F.lit('"/></aqd:AQD_SamplingPoint>'),
     )
-    rows = j.withColumn("point", point).withColumn("code", _part_code()).select(xml.alias("value")).distinct()
-    path = _write_text(spark, sf_dir, "points_xml", rows)
+    rows = j.withColumn("point", point).select(xml.alias("value"))
+    path = _write_text(spark, sf_dir, "points_xml", rows, dealt=True)
     feats = features.read_features(spark, path, "aqd:AQD_SamplingPoint", features.SAMPLING_POINT)
 
     def dim(df: DataFrame, id_col: str) -> DataFrame:
