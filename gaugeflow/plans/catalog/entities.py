@@ -266,6 +266,6 @@ def backfill_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.struct(F.lit("own").alias("name"), F.lit("own").alias("symbol"), F.lit("own").alias("definition"))
     streams = c.select(F.col("c_custkey").alias("ds_id"), F.when(F.col("c_mktsegment") == "BUILDING", own).alias("uom"))
     owner = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("ds_id"))
-    docs = _swe_docs(spark, sf_dir).join(owner, "o_orderkey").select("ds_id", F.col("o_orderkey").alias("seq"), "xml")
+    docs = _swe_docs(spark, sf_dir, owner).select("ds_id", F.col("o_orderkey").alias("seq"), "xml")
     out = entities.backfill_units(streams, documents.explode_swe(docs))
     return out.select("ds_id", F.col("uom.symbol").alias("unit"), "unit_set")

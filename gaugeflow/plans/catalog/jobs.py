@@ -349,7 +349,7 @@ def service_job(spark: SparkSession, sf_dir: str, dry_run: bool = True) -> dict[
     }
     feature = F.concat(F.lit('<om:featureOfInterest xlink:href="http://x.example/SAM.'), (F.col("o_custkey") % _SAMPLES).cast("string"), F.lit('"/>'))
     owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    answers = _swe_docs(spark, sf_dir).join(owners, "o_orderkey").select(
+    answers = _swe_docs(spark, sf_dir, owners).select(
         F.concat(F.lit("SPO."), F.col("o_orderkey").cast("string")).alias("local_id"), F.col("o_orderkey").alias("seq"), F.concat(feature, "xml").alias("xml")
     )
     return run_service(spark, _SERVICE, sources, _held_entities(spark, sf_dir), answers, dry_run)

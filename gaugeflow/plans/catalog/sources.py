@@ -292,9 +292,16 @@ def column_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "ds_id", "part", text.alias("values"))
 
 
-def _swe_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A data array of two blocks per order, with comma decimals."""
+def _swe_docs(spark: SparkSession, sf_dir: str, about: DataFrame | None = None) -> DataFrame:
+    """A data array of two blocks per order, with comma decimals.
+
+    ``about``, columns by ``o_orderkey``, is joined before the documents are built: none of them is shuffled or sorted.
+    """
     o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    passed = ["o_orderkey"]
+    if about is not None:
+        o = o.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus").join(about, "o_orderkey")
+        passed = about.columns
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
     def block(i: int):
@@ -318,7 +325,7 @@ def _swe_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = "</swe:values></swe:DataArray></om:result>"
     unit = F.when(F.col("o_orderstatus") == "O", "mg.m-3").otherwise("ug.m-3")
     xml = F.concat(F.lit(head), unit, F.lit(middle), block(0), F.lit("@@"), block(1), F.lit("@@"), F.lit(tail))
-    return o.select("o_orderkey", xml.alias("xml"))
+    return o.select(*passed, xml.alias("xml"))
 
 
 @query(
@@ -346,7 +353,7 @@ def response_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses name the supplier of the order's customer number as their feature, which may not exist."""
     owner = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("owner"))
     head = F.concat(F.lit('<om:featureOfInterest xlink:href="http://x.example/SAM.'), "owner", F.lit('"/>'))
-    docs = _swe_docs(spark, sf_dir).join(owner, "o_orderkey").withColumn("xml", F.concat(head, "xml"))
+    docs = _swe_docs(spark, sf_dir, owner).withColumn("xml", F.concat(head, "xml"))
     key = F.col("s_suppkey").cast("string")
     foi = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("SAM."), key).alias("local_id"), F.concat(F.lit("f-"), key).alias("foi_id")

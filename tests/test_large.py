@@ -55,3 +55,14 @@ def test_texts_are_compressed_and_cut(spark, tables, monkeypatch):
     assert max(gzip.open(f).read().count(b"\n") for f in files) <= 10
     found = features.read_features(spark, path, "a:AQD_Sample", features.SAMPLE)
     assert sorted(r["_id"] for r in found.collect()) == sorted(f"SAM.{i}" for i in range(95))
+
+
+def test_documents_are_built_after_the_join(spark, tables):
+    """Same rows as a join of the documents, but no document is shuffled."""
+    owner = sources.table(spark, tables, "orders").select("o_orderkey", F.col("o_custkey").alias("ds_id"))
+    docs = sources._swe_docs(spark, tables, owner)
+    late = sources._swe_docs(spark, tables).join(owner, "o_orderkey").select(*docs.columns)
+    assert sorted(docs.collect()) == sorted(late.collect()) and docs.count() == 5
+    lines = optimized(docs).splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("DataArray" in line for line in lines[join:])
