@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.props import json_walk
+from gaugeflow.functions.steps import step
 from gaugeflow.functions.templates import quoted
 from gaugeflow.functions.times import parse_iso
 from gaugeflow.functions.values import DECIMAL, after_last_slash
@@ -142,7 +143,8 @@ def explode_swe(
     (its ``pos`` is NULL). Times are ISO with an offset.
     """
     keep = [c for c in df.columns if c != xml]
-    arrays = df.select(*keep, _data_array(F.col(xml)).alias("_a"))
+    # A generator, so that filters on what was parsed stay above it and each document is parsed once.
+    arrays = df.select(*keep, F.explode(F.array(_data_array(F.col(xml)))).alias("_a"))
     fields = F.col("_a.elementType.DataRecord.field")
     encoding = "_a.encoding.TextEncoding"
     parsed = arrays.select(
@@ -163,20 +165,32 @@ def explode_swe(
         *keep, "_names", "_decimal", "_token", href.alias("unit_href"), F.posexplode_outer(blocks).alias("pos", "_text")
     )
     tokens = F.filter(F.split(F.col("_text"), F.col("_token")), lambda t: t != "")
-    cut = rows.select(*keep, "pos", "_names", "_decimal", "unit_href", tokens.alias("_tokens"))
+    cut = step(rows, {"_tokens": tokens}, [*keep, "pos", "_names", "_decimal", "unit_href"])
 
     def token(name: str) -> Column:
         at = F.array_position("_names", F.lit(name)).cast("int")
         return F.trim(F.get(F.col("_tokens"), at - 1))
 
-    number = F.replace(token(value), F.col("_decimal"), F.lit("."))
-    read = cut.select(
-        *keep, "pos", "unit_href",
-        (F.size("_tokens") != F.size("_names")).alias("_miscounted"),
-        parse_iso(token(start)).alias("phen_start"),
-        parse_iso(token(end)).alias("phen_end"),
-        F.when(number.rlike(DECIMAL), number.try_cast(RESULT_DECIMAL)).alias("result_num"),
-    )
+    found = step(
+        cut,
+        {
+            "_miscounted": F.size("_tokens") != F.size("_names"),
+            "_start": token(start),
+            "_end": token(end),
+            "_number": F.replace(token(value), F.col("_decimal"), F.lit(".")),
+        },
+        [*keep, "pos", "unit_href"],
+    )
+    number = F.col("_number")
+    read = step(
+        found,
+        {
+            "phen_start": parse_iso(F.col("_start")),
+            "phen_end": parse_iso(F.col("_end")),
+            "result_num": F.when(number.rlike(DECIMAL), number.try_cast(RESULT_DECIMAL)),
+        },
+        [*keep, "pos", "unit_href", "_miscounted"],
+    )
     reject = (
         F.when(F.col("pos").isNull(), "No readable data array")
         .when(F.col("_miscounted"), "Wrong number of fields in block")

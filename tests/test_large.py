@@ -66,3 +66,17 @@ def test_documents_are_built_after_the_join(spark, tables):
     lines = optimized(docs).splitlines()
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert not any("DataArray" in line for line in lines[join:])
+
+
+def test_documents_are_parsed_once(spark, tables):
+    """Filters on parsed values stay above the parser, where the documents were dealt out."""
+    owner = sources.table(spark, tables, "orders").select("o_orderkey", F.col("o_custkey").alias("ds_id"))
+    docs = sources._swe_docs(spark, tables, owner).withColumnRenamed("o_orderkey", "seq")
+    streams = spark.createDataFrame([(10, None), (11, None), (12, None)], "ds_id long, uom struct<name:string,symbol:string,definition:string>")
+    filled = entities.backfill_units(streams, documents.explode_swe(docs))
+    assert optimized(filled).count("from_xml") == 1
+    found = {r["ds_id"]: r for r in filled.collect()}
+    assert found[10]["uom"]["symbol"] == "mg.m-3" and sorted(found) == [10, 11, 12] and all(r["unit_set"] for r in found.values())
+    good = documents.explode_swe(docs).filter("reject IS NULL")
+    assert not any("Filter" in line and "try_cast" in line for line in optimized(good).splitlines())
+    assert good.count() == 10
