@@ -29,30 +29,34 @@ def parse_result(cell: Column, percent: str = "reference") -> Column:
     ``percent='numeric'`` reads ``50%`` as a number; by default only values beyond the 32-bit range
     lose their percent sign.
     """
-    bare = F.regexp_replace(cell, "%+$", "")
+    text = number_text(cell, percent)
+    return tagged_result(cell, text, text.try_cast(RESULT_DECIMAL))
 
-    def number_kind(text: Column) -> Column:
-        # Ranges instead of casts: a cast that fails is an exception per row.
-        number = text.try_cast(RESULT_DECIMAL)
-        whole = F.when(number.between(-(1 << 31), (1 << 31) - 1), "int").when(
-            number.between(F.lit(-(1 << 63)), F.lit((1 << 63) - 1)), "long"
-        )
-        return F.when(text.rlike("[.eE]"), "decimal").otherwise(F.coalesce(whole, F.lit("decimal")))
 
-    is_number, has_percent = cell.rlike(DECIMAL), cell.endswith("%")
-    empty = cell.isNull() | (cell == "") | (F.lower(cell) == "null")
+def number_text(cell: Column, percent: str = "reference") -> Column:
+    """The number in a cell as ``parse_result`` reads it, still as text; NULL where it reads none."""
+    bare = F.regexp_replace(cell, "%+$", "")
     if percent == "numeric":
         # A percent sign after any number.
-        percent_kind = F.when(bare.rlike(DECIMAL), number_kind(bare))
+        is_percent = bare.rlike(DECIMAL)
     else:
-        percent_kind = F.when(bare.rlike(INTEGER), F.nullif(F.nullif(number_kind(bare), F.lit("int")), F.lit("decimal")))
-    kind = (
-        F.when(is_number, number_kind(cell))
-        .when(has_percent, F.coalesce(percent_kind, F.lit("string")))
-        .otherwise("string")
+        is_percent = bare.rlike(INTEGER) & (_number_kind(bare, bare.try_cast(RESULT_DECIMAL)) == "long")
+    return F.when(cell.rlike(DECIMAL), cell).when(cell.endswith("%") & is_percent, bare)
+
+
+def _number_kind(text: Column, number: Column) -> Column:
+    # Ranges instead of casts: a cast that fails is an exception per row.
+    whole = F.when(number.between(-(1 << 31), (1 << 31) - 1), "int").when(
+        number.between(F.lit(-(1 << 63)), F.lit((1 << 63) - 1)), "long"
     )
-    percent_number = F.when(percent_kind.isNotNull(), bare.try_cast(RESULT_DECIMAL))
-    number = F.when(is_number, cell.try_cast(RESULT_DECIMAL)).when(has_percent, percent_number)
+    fraction = text.contains(".") | text.contains("e") | text.contains("E")
+    return F.when(fraction, "decimal").otherwise(F.coalesce(whole, F.lit("decimal")))
+
+
+def tagged_result(cell: Column, text: Column, number: Column) -> Column:
+    """The struct of ``parse_result`` from the cell, its ``number_text`` and that as a number."""
+    empty = cell.isNull() | (cell == "") | (F.lower(cell) == "null")
+    kind = F.when(text.isNull(), "string").otherwise(_number_kind(text, number))
     return F.when(~empty, F.struct(kind.alias("kind"), number.alias("num"), cell.alias("text")))
 
 

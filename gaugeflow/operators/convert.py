@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import props, templates, times, values
+from gaugeflow.functions.steps import step
 from gaugeflow.functions.templates import quoted
 from gaugeflow.model import RESULT_DECIMAL
 from gaugeflow.operators.lookup import map_datastream
@@ -107,15 +108,13 @@ def _settings(df: DataFrame, spec: Converter, by_index: bool) -> tuple:
 def _parse(flat: DataFrame, df: DataFrame, spec: Converter, by_index: bool) -> DataFrame:
     """Observation fields and a reject reason from the raw cells.
 
-    Two projections: the first parses each cell once, the second combines the parsed columns.
+    In steps that the optimizer keeps apart, so each cell is parsed once, and each step is a generated method that
+    the JVM compiles (it interprets those above 8000 bytes): times, results, then what is combined from them.
     """
     cell = F.col("cell")
     raw = ["cell", "pt0", "pt1", "vt0", "vt1", "rt", "params"]
     passed = [c for c in flat.columns if c not in raw]
-    if spec.decimal:
-        result = F.struct(F.lit("decimal").alias("kind"), values.decimal_text(cell, spec.decimal).alias("text"))
-    else:
-        result = values.parse_result(cell, spec.percent)
+    text = values.decimal_text(cell, spec.decimal) if spec.decimal else values.number_text(cell, spec.percent)
     missing = (
         values.is_missing(cell, equals=spec.missing) if by_index else values.is_missing(cell, regex=spec.missing)
     )
@@ -123,33 +122,40 @@ def _parse(flat: DataFrame, df: DataFrame, spec: Converter, by_index: bool) -> D
     def ends_of(name: str, specs: Sequence[int | str]):
         cells = [d or F.col(f"{name}{i}") for i, d in enumerate(_durations(df, specs, by_index))]
         parsed = times.endpoints(cells, spec.time_format, spec.zone)
-        columns = [e.alias(f"{name}{i}") for i, e in enumerate(parsed) if not isinstance(e, times.Period)]
+        columns = {f"{name}{i}": e for i, e in enumerate(parsed) if not isinstance(e, times.Period)}
         refs = [e if isinstance(e, times.Period) else F.col(f"{name}{i}") for i, e in enumerate(parsed)]
         if len(cells) == 2 and not any(isinstance(e, times.Period) for e in parsed):
-            columns.append(times.is_given(F.col(f"{name}1")).alias(f"{name}_given"))
+            columns[f"{name}_given"] = times.is_given(F.col(f"{name}1"))
             return columns, times.combine(refs, F.col(f"{name}_given"))
         return columns, times.combine(refs)
 
     phen_columns, phen = ends_of("pt", spec.phen_time)
-    valid_columns, valid = ends_of("vt", spec.valid_time) if spec.valid_time else ([], None)
+    valid_columns, valid = ends_of("vt", spec.valid_time) if spec.valid_time else ({}, None)
     # The converter by number reads its result time without the configured pattern.
     rt = times.parse_time_ladder(F.col("rt"), None if by_index else spec.time_format, spec.zone)
     none = F.lit(None).cast("timestamp")
-    parsed = flat.select(
-        *passed,
-        result.alias("r"),
-        missing.alias("missing"),
-        *phen_columns,
-        *valid_columns,
-        (none if spec.result_time is None else rt).alias("result_time"),
-        (props.parameters(F.col("params")) if spec.parameters else F.lit(None).cast(props.MAP)).alias("parameters"),
+    result_time = {} if spec.result_time is None else {"result_time": rt}
+    timed = step(step(flat, phen_columns), valid_columns | result_time)
+    read = step(timed, {"number": text, "missing": missing})
+    read = step(read, {"num": F.col("number").try_cast(RESULT_DECIMAL)})
+    if spec.decimal:
+        result = F.struct(F.lit("decimal").alias("kind"), F.col("number").alias("text"), F.col("num").alias("num"))
+    else:
+        result = values.tagged_result(cell, F.col("number"), F.col("num"))
+    no_time = F.struct(none.alias("start"), none.alias("end"), F.lit(None).cast("string").alias("error"))
+    combined = step(
+        read,
+        {
+            "r": result,
+            "p": phen,
+            "v": no_time if valid is None else valid,
+            "parameters": props.parameters(F.col("params")) if spec.parameters else F.lit(None).cast(props.MAP),
+        },
     )
-    combined = parsed.select(
-        *passed, "r", "missing", "result_time", "parameters", phen.alias("p"),
-        (F.struct(none.alias("start"), none.alias("end"), F.lit(None).cast("string").alias("error")) if valid is None else valid).alias("v"),
-    )
+    if spec.result_time is None:
+        combined = combined.withColumn("result_time", none)
     no_result = F.col("r.text").isNull() if spec.decimal else F.col("r").isNull()
-    number = F.col("r.text").try_cast(RESULT_DECIMAL) if spec.decimal else F.col("r.num")
+    number = F.col("r.num")
     reject = F.when(F.col("missing"), "Missing value").when(no_result, "No result")
     reject = reject.when(F.col("p.error").isNotNull(), F.col("p.error"))
     reject = reject.when(F.col("v.error").isNotNull(), F.col("v.error"))
@@ -214,12 +220,14 @@ def _attach_datastreams(flat: DataFrame, specs: Sequence[Converter], datastreams
         )
         for i, names in enumerate(sets)
     ]
-    known = reduce(DataFrame.unionAll, listed)
+    # The hash of the key goes first: sorting compares numbers and looks at the key itself only where they are equal.
+    by_hash = {"hash": F.xxhash64("key"), "key": F.col("key")}
+    known = reduce(DataFrame.unionAll, listed).withColumn("hash", by_hash["hash"])
     if len(sets) == 1 and all(_key_set(s) for s in specs):
         keyed = flat.drop("kind", "ds_id").withColumn("key", own_key(specs[0]))
-        return map_datastream(keyed, known, {"key": F.col("key")}).drop("key", "keys")
+        return map_datastream(keyed, known, by_hash).drop("key", "keys")
     keyed = flat.withColumnsRenamed({"kind": "_kind", "ds_id": "_ds_id"}).withColumn("key", _by_branch(specs, _key_set, own_key))
-    mapped = map_datastream(keyed, known, {"key": F.col("key")})
+    mapped = map_datastream(keyed, known, by_hash)
     fixed = _by_branch(specs, lambda s: not s.keys, lambda s: F.lit(not s.keys))
     given = {"kind": F.col("_kind"), "ds_id": F.col("_ds_id"), "ds_status": F.lit("ok")}
     return mapped.withColumns({c: F.when(fixed, v).otherwise(F.col(c)) for c, v in given.items()}).drop("key", "keys", "_kind", "_ds_id")

@@ -80,3 +80,19 @@ def test_documents_are_parsed_once(spark, tables):
     good = documents.explode_swe(docs).filter("reject IS NULL")
     assert not any("Filter" in line and "try_cast" in line for line in optimized(good).splitlines())
     assert good.count() == 10
+
+
+def test_conversion_is_compiled(spark):
+    rows = spark.createDataFrame([(1, "2024-01-01T00:00:00", "1.50", "a", "7%"), (2, "x", "0", "b", "99999999999%")], "seq long, t string, v string, k string, w string")
+    streams = spark.createDataFrame([("D", "s", "a", ("u", "u", "u"))], "kind string, ds_id string, k string, uom struct<name:string,symbol:string,definition:string>")
+    common = {"phen_time": ["t"], "time_format": "yyyy-MM-dd'T'HH:mm:ss", "zone": "+1", "missing": "0"}
+    one = convert.to_observations_by_name(rows, convert.Converter(result="v", ds_id="v", **common))
+    both = [convert.Converter(result="v", keys={"k": "{k}"}, **common), convert.Converter(result="w", ds_id="w", **common)]
+    many = convert.fan_out(rows, both, streams)
+    for df in (one, many):
+        assert max(method_sizes(spark, df)) < COMPILED
+    got = {(r["branch"], r["seq"]): (r["ds_id"], r["result_kind"], r["result_text"], r["reject"]) for r in many.collect()}
+    assert got == {
+        (0, 1): ("s", "decimal", "1.50", None), (0, 2): (None, "int", "0", "Missing value"),
+        (1, 1): ("w", "string", "7%", None), (1, 2): ("w", "long", "99999999999%", "Could not parse time"),
+    }
