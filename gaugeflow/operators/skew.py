@@ -10,6 +10,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from gaugeflow.session import stage
 
 SALTS = 4
+UNMATCHED_SALTS = 1 << 16
 CHUNK = 1 << 20
 
 
@@ -48,9 +51,14 @@ def salted_lookup(
     size check is broadcast instead. Beyond that the salt does two things: it divides a hot key,
     and it gives both sides their own exchange, which is what adaptive execution needs to cut the
     remaining large partitions into pieces of the advisory size (``skewJoin`` in ``session.tune``).
+    Rows with a NULL key match nothing: they get salts that ``small`` doesn't have, as many as keep them even.
     """
-    spread_col = F.col(spread) if isinstance(spread, str) else spread
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread_col), F.lit(salts)).cast("int"))
+    spread_col = F.xxhash64(F.col(spread) if isinstance(spread, str) else spread)
+    salt = F.pmod(spread_col, F.lit(salts)).cast("int")
+    nullable = [F.col(key).isNull() for key in on if key not in null_safe]
+    if nullable:
+        salt = F.when(reduce(or_, nullable), (-1 - F.pmod(spread_col, F.lit(UNMATCHED_SALTS))).cast("int")).otherwise(salt)
+    left = big.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keys = [*on, "_salt"]
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])

@@ -96,3 +96,21 @@ def test_conversion_is_compiled(spark):
         (0, 1): ("s", "decimal", "1.50", None), (0, 2): (None, "int", "0", "Missing value"),
         (1, 1): ("w", "string", "7%", None), (1, 2): ("w", "long", "99999999999%", "Could not parse time"),
     }
+
+
+def test_null_keys_are_dealt_out(spark):
+    """Rows without a key go to more tasks than there are salts."""
+    settings = {k: "-1" for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    settings |= {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        big = spark.range(4000).select(F.col("id").alias("seq"), F.when(F.col("id") == 5, "a").alias("key"))
+        small = spark.createDataFrame([("a", 1)], "key string, v int")
+        sizes = salted_lookup(big, small, ["key"]).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["count"] for r in sizes) == 4000
+    assert len(sizes) > 4 * SALTS and max(r["count"] for r in sizes) < 400
