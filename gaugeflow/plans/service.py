@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.functions.steps import step
 from gaugeflow.operators import bounds, entities, lookup
 from gaugeflow.operators.skew import salted_lookup
 from gaugeflow.plans.ingest import change_set, results
@@ -76,10 +77,15 @@ def reconcile_network(
     spark: SparkSession, sources: Mapping[str, Any], tables: Mapping[str, DataFrame], owner: str = "", metadata: str = ""
 ) -> _Tables:
     """Entities of the features in ``sources`` (paths per name of ``TAGS``), merged into the target's tables."""
-    read = {name: features.read_features(spark, path, *TAGS[name]) for name, path in sources.items()}
+    # Each element is parsed once, for its row and for its reject.
+    parsed = {
+        name: stage(features.check_features(spark, path, *TAGS[name]).select("feature", "local_id", "reject"), f"service-{name}-elements")
+        for name, path in sources.items()
+    }
+    read = {name: elements.select("feature.*") for name, elements in parsed.items()}
     held = _Tables(tables)
-    for name, path in sources.items():
-        held.reject(f"{name} element", features.feature_rejects(spark, path, *TAGS[name]))
+    for name, elements in parsed.items():
+        held.reject(f"{name} element", elements)
     pollutants = stations.pollutant_dim(spark).drop("op_id")
     held.merge("observed_properties", pollutants, compare=["name", "description"], create_only=["definition"])
     if "stations" in read:
@@ -136,11 +142,12 @@ def read_responses(responses: DataFrame, datastreams: DataFrame, foi: DataFrame,
     matched = salted_lookup(responses.select("local_id", "seq", "xml"), known, ["local_id"])
     matched = documents.attach_feature(matched, foi, "local_id")
     failed = F.coalesce(F.when(F.col("ds_id").isNull(), "No Datastream"), F.col("response_reject"))
-    checked = matched.withColumn("failed", failed).drop("response_reject")
-    good = documents.explode_swe(checked.filter(F.col("failed").isNull()), **(fields or {}))
-    rows = good.select("*", F.col("reject").alias("reason")).unionByName(
-        checked.filter(F.col("failed").isNotNull()).drop("xml").withColumn("reason", F.col("failed")), allowMissingColumns=True
-    )
+    checked = step(matched, {"failed": failed}, [c for c in matched.columns if c != "response_reject"])
+    # One pass over the responses: a failed one has no text to read and keeps its one row.
+    readable = F.when(F.col("failed").isNull(), F.col("xml"))
+    rows = documents.explode_swe(checked.withColumn("xml", readable), **(fields or {}))
+    rows = rows.withColumn("reason", F.coalesce("failed", "reject"))
+    rows = rows.withColumn("unit_href", F.when(F.col("failed").isNull(), F.col("unit_href")))
     number = F.col("seq") * F.lit(1 << 32) + F.coalesce("pos", F.lit(0))
     return rows.select(
         F.lit("D").alias("kind"),

@@ -121,10 +121,21 @@ _SWE_ARRAY = (
 )
 
 
-def _data_array(xml: Column) -> Column:
-    """The first SWE data array of a response, parsed once."""
-    element = F.regexp_extract(xml, r"(?s)<(?:[\w.-]+:)?DataArray[\s>].*?</(?:[\w.-]+:)?DataArray>", 0)
-    return F.from_xml(element, _SWE_ARRAY, {"ignoreNamespace": "true"})
+# A data array up to its first end tag, and up to the last one, which is found faster.
+_ARRAY_TO_FIRST = r"(?s)<(?:[\w.-]+:)?DataArray[\s>].*?</(?:[\w.-]+:)?DataArray>"
+_ARRAY_TO_LAST = r"(?s)<(?:[\w.-]+:)?DataArray[\s>].*</(?:[\w.-]+:)?DataArray>"
+
+
+def _data_array(df: DataFrame, xml: str, keep: Sequence[str]) -> DataFrame:
+    """``*keep, _a``: the first SWE data array of a response, parsed once."""
+    found = step(df, {"_found": F.regexp_extract(xml, _ARRAY_TO_LAST, 0)}, [*keep, *([] if xml in keep else [xml])])
+    text = F.col("_found")
+    ends = (F.length(text) - F.length(F.replace(text, F.lit("DataArray>"), F.lit("")))) / len("DataArray>")
+    ends = ends - F.when(text.rlike(r"^<(?:[\w.-]+:)?DataArray>"), 1).otherwise(0)
+    # With one end tag the first is the last.
+    first = F.when(ends <= 1, text).otherwise(F.regexp_extract(xml, _ARRAY_TO_FIRST, 0))
+    # A generator, so that filters on what was parsed stay above it and each document is parsed once.
+    return found.select(*keep, F.explode(F.array(F.from_xml(first, _SWE_ARRAY, {"ignoreNamespace": "true"}))).alias("_a"))
 
 
 def _separator_class(sep: Column) -> Column:
@@ -143,8 +154,7 @@ def explode_swe(
     (its ``pos`` is NULL). Times are ISO with an offset.
     """
     keep = [c for c in df.columns if c != xml]
-    # A generator, so that filters on what was parsed stay above it and each document is parsed once.
-    arrays = df.select(*keep, F.explode(F.array(_data_array(F.col(xml)))).alias("_a"))
+    arrays = _data_array(df, xml, keep)
     fields = F.col("_a.elementType.DataRecord.field")
     encoding = "_a.encoding.TextEncoding"
     parsed = arrays.select(
@@ -212,9 +222,7 @@ def explode_swe(
 
 def swe_counts(df: DataFrame, keys: Sequence[str], xml: str = "xml") -> DataFrame:
     """The element count each document states: ``*keys, element_count``."""
-    return df.select(*keys, _data_array(F.col(xml)).alias("_a")).select(
-        *keys, F.col("_a.elementCount.Count.value").alias("element_count")
-    )
+    return _data_array(df, xml, keys).select(*keys, F.col("_a.elementCount.Count.value").alias("element_count"))
 
 
 # Where a response names its feature of interest and its sampling point.
@@ -232,7 +240,8 @@ def attach_feature(df: DataFrame, features: DataFrame, expected: str, xml: str =
     interest gives no observations; one for another sampling point than ``expected`` is flagged.
     """
     local_id = after_last_slash(F.regexp_extract(xml, _FEATURE_HREF, 1))
-    point = F.regexp_extract(xml, _POINT_HREF, 1)
+    # The pattern is tried only where its fixed part is.
+    point = F.when(~F.col(xml).contains("/processparameter/SamplingPoint"), "").otherwise(F.regexp_extract(xml, _POINT_HREF, 1))
     named = df.withColumn("_foi", local_id).withColumn("point_differs", ~point.endswith(F.col(expected)))
     known = features.select(F.col("local_id").alias("_foi"), "foi_id")
     joined = salted_lookup(named, known, ["_foi"], spread)

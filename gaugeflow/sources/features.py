@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions import props
 from gaugeflow.functions.geo import position_to_wgs84
+from gaugeflow.functions.steps import step
 from gaugeflow.functions.values import after_last_slash
 from gaugeflow.operators.skew import keep_one, salted_lookup
 
@@ -67,16 +68,20 @@ def read_features(spark: SparkSession, paths: str | list[str], tag: str, schema:
 def _elements(spark: SparkSession, paths: str | list[str], tag: str) -> DataFrame:
     """The text of each element ``tag``; one that the file ends in is closed, and will not parse."""
     pieces = spark.read.option("lineSep", f"</{tag}>").option("recursiveFileLookup", True).text(paths)
-    opening = F.regexp_extract("value", rf"(?s)<{re.escape(tag)}[\s>].*", 0)
-    elements = pieces.select(opening.alias("element"), F.col("_metadata.file_path").alias("src_file")).filter(F.col("element") != "")
+    # Mostly the first "<tag" is the element's; a pattern is needed where a longer tag begins alike.
+    found = F.substring("value", F.instr("value", f"<{tag}"), F.lit(0x7FFFFFFF))
+    opening = F.when(F.instr("value", f"<{tag}") == 0, "").when(
+        F.substring(found, len(tag) + 2, 1).rlike(r"[\s>]"), found
+    ).otherwise(F.regexp_extract("value", rf"(?s)<{re.escape(tag)}[\s>].*", 0))
+    pieces = pieces.select("value", F.col("_metadata.file_path").alias("src_file"))
+    elements = step(pieces, {"element": opening}, ["src_file"]).filter(F.col("element") != "")
     return elements.withColumn("element", F.concat("element", F.lit(f"</{tag}>")))
 
 
-def feature_rejects(spark: SparkSession, paths: str | list[str], tag: str, schema: str) -> DataFrame:
-    """Elements that ``read_features`` gives no usable row for: ``src_file, local_id, reject, element``.
+def check_features(spark: SparkSession, paths: str | list[str], tag: str, schema: str) -> DataFrame:
+    """What ``read_features`` and ``feature_rejects`` give, from one parse: ``feature, src_file, local_id, reject, element``.
 
-    An element that is no XML, or whose parts don't fit the schema, is unreadable; its id is taken from its text
-    where it has one. One without an id can't be referred to.
+    ``feature`` holds the fields; the last two columns are NULL for a usable element.
     """
     whole = f"{schema}, _unreadable string"
     parsed = F.from_xml(F.col("element"), whole, {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_unreadable"})
@@ -84,7 +89,22 @@ def feature_rejects(spark: SparkSession, paths: str | list[str], tag: str, schem
     named = F.nullif(F.regexp_extract("element", r"""^<[^>]*?[\s:]id\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
     no_id = F.coalesce(F.trim("p._id"), F.lit("")) == ""
     reject = F.when(F.col("p._unreadable").isNotNull(), "Unreadable element").when(no_id, "Element without id")
-    return rows.select("src_file", F.coalesce("p._id", named).alias("local_id"), reject.alias("reject"), "element").filter("reject IS NOT NULL")
+    return rows.select(
+        F.col("p").dropFields("_unreadable").alias("feature"),
+        "src_file",
+        F.coalesce("p._id", named).alias("local_id"),
+        reject.alias("reject"),
+        F.when(reject.isNotNull(), F.col("element")).alias("element"),
+    )
+
+
+def feature_rejects(spark: SparkSession, paths: str | list[str], tag: str, schema: str) -> DataFrame:
+    """Elements that ``read_features`` gives no usable row for: ``src_file, local_id, reject, element``.
+
+    An element that is no XML, or whose parts don't fit the schema, is unreadable; its id is taken from its text
+    where it has one. One without an id can't be referred to.
+    """
+    return check_features(spark, paths, tag, schema).filter("reject IS NOT NULL").select("src_file", "local_id", "reject", "element")
 
 
 def _text(path: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.operators import convert, entities
 from gaugeflow.operators.skew import SALTS, salted_lookup
+from gaugeflow.plans import service
 from gaugeflow.plans.catalog import sources
 from gaugeflow.session import tune
 from gaugeflow.sources import documents, features
@@ -114,3 +115,70 @@ def test_null_keys_are_dealt_out(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert sum(r["count"] for r in sizes) == 4000
     assert len(sizes) > 4 * SALTS and max(r["count"] for r in sizes) < 400
+
+
+def test_elements_are_cut_once(spark):
+    """The pattern that cuts an element runs once, and only where a longer tag comes first."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(f"{folder}/a.xml", "w", encoding="utf-8") as f:
+        f.write('<?xml?>é\U0001d11e <a:Sx id="0"/><a:S id="1"><n>é\U0001d11e</n></a:S>\n<a:S\nid="2"/></a:S><a:S><n>3</n></a:S> <a:Sy/></a:S><a:S id="4"><n>')
+    cut = features._elements(spark, folder, "a:S")
+    assert optimized(cut).count("regexp_extract") == 1
+    texts = ['<a:S id="1"><n>é\U0001d11e</n></a:S>', '<a:S\nid="2"/></a:S>', "<a:S><n>3</n></a:S>", '<a:S id="4"><n></a:S>']
+    assert [r["element"] for r in cut.collect()] == texts
+    checked = features.check_features(spark, folder, "a:S", "_id string, n string")
+    read = features.read_features(spark, folder, "a:S", "_id string, n string")
+    assert checked.select("feature.*").collect() == read.collect()
+    assert [(r["local_id"], r["reject"]) for r in checked.collect()][2:] == [(None, "Element without id"), ("4", "Unreadable element")]
+
+
+def test_service_parses_elements_once(spark, tables):
+    """Rejects are read from the table the rows are read from."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(f"{folder}/a.xml", "w") as f:
+        f.write('<a xmlns:aqd="urn:a"><aqd:AQD_Sample id="1"></aqd:AQD_Sample><aqd:AQD_Sample></aqd:AQD_Sample><aqd:AQD_Sample id="3"><b></aqd:AQD_Sample></a>')
+    text = "name string, description string, properties map<string,string>"
+    extra = {
+        "observed_properties": "definition string", "locations": "lon double, lat double", "things": "location_id string",
+        "sensors": "encoding string, metadata string", "features": "lon double, lat double", "datastreams": "kind string",
+    }
+    held = {name: spark.createDataFrame([], f"{key} string, {text}, {extra[name]}") for name, key in service.IDS.items()}
+    found = service.reconcile_network(spark, {"samples": folder}, held).rejects[0]
+    assert "from_xml" not in optimized(found)
+    got = sorted((r["entity"], r["local_id"] or "", r["reason"]) for r in found.collect())
+    assert got == [("samples element", "", "Element without id"), ("samples element", "3", "Unreadable element")]
+
+
+def test_responses_are_read_in_one_pass(spark, tables):
+    """Failed responses take the way of the others, and give the same one row. Order 2 has two responses per owner."""
+    owner = sources.table(spark, tables, "orders").select("o_orderkey", "o_custkey")
+    head = F.concat(F.lit('<om:featureOfInterest xlink:href="x/'), F.col("o_custkey").cast("string"), F.lit('"/>'))
+    docs = sources._swe_docs(spark, tables, owner).select(
+        F.col("o_orderkey").cast("string").alias("local_id"), F.col("o_orderkey").alias("seq"), F.concat(head, "xml").alias("xml")
+    )
+    broken = spark.createDataFrame([("1", 5, '<om:featureOfInterest href="x/10"/>'), ("9", 6, None)], "local_id string, seq long, xml string")
+    streams = spark.createDataFrame([("1", "D", "d1"), ("2", "D", "d2")], "local_id string, kind string, ds_id string")
+    foi = spark.createDataFrame([("10", "f"), ("11", "g")], "local_id string, foi_id string")
+    rows = service.read_responses(docs.unionByName(broken), streams, foi)
+    assert len([line for line in optimized(rows).splitlines() if "Union" in line]) == 1
+    got = sorted((str(r["ds_id"]), r["local_id"], r["seq"] >> 32, str(r["pos"]), str(r["unit_href"] is None), r["reason"] or "") for r in rows.collect())
+    good = [("d1", "1", 1, "0", "False", ""), ("d1", "1", 1, "1", "False", ""), *[("d2", "2", 2, str(i // 2), "False", "") for i in range(4)]]
+    failed = [
+        ("d1", "1", 5, "None", "False", "No readable data array"), *[("d2", "2", 2, "None", "True", "FeatureOfInterest not found")] * 2,
+        ("None", "9", 6, "None", "True", "No Datastream"),
+    ]
+    assert got == sorted(good + failed)
+
+
+def test_first_data_array_is_read(spark):
+    """The text up to the first end tag, as a pattern that stops there finds it."""
+    one = "<s:DataArray><s:values>1</s:values></s:DataArray>"
+    texts = [
+        one, f"a{one}b{one}", f'<DataArray id="1"></DataArray>{one}', f"{one}<DataArray>", "<s:DataArray>", "", None, "<s:DataArrayX></s:DataArrayX>",
+        f"<DataArray>{one}</DataArray>", f'<DataArray\na="1">{one}</DataArray>', f"<XDataArray>{one}</XDataArray>", "</DataArray><DataArray ></DataArray>",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "seq int, xml string")
+    parsed = F.from_xml(F.regexp_extract("xml", documents._ARRAY_TO_FIRST, 0), documents._SWE_ARRAY, {"ignoreNamespace": "true"})
+    expected = docs.select("seq", parsed.alias("_a")).collect()
+    assert documents._data_array(docs, "xml", ["seq"]).collect() == expected
+    assert sum(r["_a"] is not None and r["_a"]["values"] == "1" for r in expected) >= 4
