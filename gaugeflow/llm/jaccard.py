@@ -429,7 +429,8 @@ def _left_over(long: DataFrame, done: DataFrame) -> DataFrame:
     )
     small = held.select("token", entry.alias("y"), (F.col("root") == F.col("major")).alias("y_major"), _band(F.col("n")).alias("band"), spread.alias("salt"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    large = large.select("*", salts)
+    # Each entry becomes a row per band and salt, which Spark's size check doesn't count: never broadcast.
+    large = large.select("*", salts).hint("merge")
     met = large.filter("NOT x_major").join(small, ["token", "band", "salt"]).unionByName(
         large.filter("x_major").join(small.filter("NOT y_major"), ["token", "band", "salt"])
     )

@@ -47,8 +47,8 @@ def salted_lookup(
     """Join ``big`` to ``small`` (one row per key) without piling a hot key on one task.
 
     The salt is a hash of ``spread``, a column that differs between rows, so a retried task sends
-    each row to the same place. ``small`` is repeated once per salt. A small table by Spark's own
-    size check is broadcast instead. Beyond that the salt does two things: it divides a hot key,
+    each row to the same place. ``small`` is repeated once per salt, by an operator whose copies Spark
+    counts (of an explode it counts one row each). A small table by Spark's own size check is broadcast instead. Beyond that the salt does two things: it divides a hot key,
     and it gives both sides their own exchange, which is what adaptive execution needs to cut the
     remaining large partitions into pieces of the advisory size (``skewJoin`` in ``session.tune``).
     Rows with a NULL key match nothing: they get salts that ``small`` doesn't have, as many as keep them even.
@@ -59,7 +59,10 @@ def salted_lookup(
     if nullable:
         salt = F.when(reduce(or_, nullable), (-1 - F.pmod(spread_col, F.lit(UNMATCHED_SALTS))).cast("int")).otherwise(salt)
     left = big.withColumn("_salt", salt)
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    for key in on:  # here, as filters aren't moved below the copies
+        small = small if key in null_safe else small.filter(F.col(f"`{key}`").isNotNull())
+    copies = [f"_salt{i}" for i in range(salts)]
+    right = small.select("*", *[F.lit(i).alias(c) for i, c in enumerate(copies)]).unpivot([f"`{c}`" for c in small.columns], copies, "_copy", "_salt").drop("_copy")
     keys = [*on, "_salt"]
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = None

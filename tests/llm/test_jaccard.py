@@ -103,3 +103,19 @@ def test_common_counts_shared_members():
     for _ in range(50):
         x, y = (np.unique(rng.integers(0, 60, rng.integers(1, 40), dtype=np.uint64)) for _ in range(2))
         assert jaccard._common(x, y) == len(np.intersect1d(x, y))
+
+
+def test_exploded_entries_are_not_broadcast(spark, tmp_path):
+    """Entries of long postings become a row per band and salt, far more than the files Spark sizes them by."""
+    nodes = [(7, node, 1000, 1000 - node % 200, (1, 1000, 1000)) for node in range(1, 41)]
+    kind = "token int, node bigint, n int, room int, hub struct<node:bigint,n:int,room:int>"
+    spark.createDataFrame(nodes, kind).drop("hub").write.parquet(f"{tmp_path}/long")
+    long = spark.read.parquet(f"{tmp_path}/long")
+    done = spark.createDataFrame([(1, node) for node in range(2, 21)], "a bigint, b bigint")
+    pairs = jaccard._left_over(long, done)
+    joins = [line for line in pairs._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [token" in line]
+    assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins)
+    room = {node: 1000 - node % 200 for node in range(1, 41)}
+    root = {node: 1 if node <= 20 else node for node in range(1, 41)}
+    want = {(a, b) for a in room for b in room if a < b and root[a] != root[b] and min(room[a], room[b]) * 180 >= 80 * 2000}
+    assert {tuple(r) for r in pairs.collect()} == want and want

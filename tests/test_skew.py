@@ -117,3 +117,28 @@ def test_many_copies_of_one_observation(spark):
     copies = find_duplicates(base)
     assert {int(r["obs_id"]) for r in copies.collect()} == set(range(299))
     assert batch_dedupe(base).count() == 601
+
+
+def _limited(spark, limit, make):
+    """The physical plan that ``make`` gives under a limit for broadcasts, before any of it has run."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
+    try:
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_copies_of_a_lookup_count_in_its_size(spark):
+    """A table below the limit for broadcasts whose copies, one per salt, are above it is not broadcast."""
+    path = staging_path(spark, "small")
+    spark.range(20000).select(F.xxhash64("id").alias("key"), F.col("id").alias("v")).write.parquet(path)
+    small, big = spark.read.parquet(path), spark.range(100).select(F.xxhash64("id").alias("key"), F.col("id").alias("seq"))
+    size = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+    def make():
+        return salted_lookup(big, small, ["key"])
+
+    assert "BroadcastHashJoin" not in _limited(spark, 2 * size, make)
+    assert "BroadcastHashJoin" in _limited(spark, 20 * size, make)
+    assert sorted((r["seq"], r["v"]) for r in make().collect()) == [(i, i) for i in range(100)]
