@@ -3,6 +3,7 @@
 * ``keep_one`` / ``keep_first``: ``row_number() <= k`` filters, which Spark prunes per map task
   (WindowGroupLimit) before the shuffle, so at most k rows per key and task travel.
 * ``salted_lookup``: join against a table that is unique per key; the big side is spread over salts.
+* ``measured_lookup``: the same against a table that Spark can't size, which is stored and measured.
 * ``positions``: exact row numbers inside groups of any size, counted in bounded chunks.
 * ``running_total``: sums over all rows before each row, in a total order, by ranges.
 """
@@ -20,6 +21,8 @@ from gaugeflow.session import stage
 
 SALTS = 4
 UNMATCHED_SALTS = 1 << 16
+ROW_BYTES = 32  # of a row in memory besides its values
+MEASURED = 32 << 20  # bytes of rows that are broadcast once they are measured
 CHUNK = 1 << 20
 
 
@@ -73,6 +76,21 @@ def salted_lookup(
     return joined.drop("_salt", *[f"_r_{key}" for key in keys])
 
 
+def measured_lookup(big: DataFrame, small: DataFrame, on: Sequence[str], spread: str | Column, name: str) -> DataFrame:
+    """Left ``salted_lookup`` against a table whose size can't be told from its files, as one cut from compressed text.
+
+    ``small`` is stored and its rows are measured: up to ``MEASURED`` bytes, or Spark's limit where that is higher, they
+    are broadcast, once and not per salt; beyond it both sides are shuffled, whatever Spark expects of the files.
+    Where broadcasts are switched off, nothing is broadcast.
+    """
+    kept = stage(small, name)
+    size = F.sum(F.octet_length(F.to_json(F.struct(*kept.columns))).cast("bigint") + ROW_BYTES)
+    limit = kept.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if limit >= 0 and (kept.agg(size).first()[0] or 0) <= max(limit, MEASURED):
+        return salted_lookup(big, F.broadcast(kept), on, spread, salts=1)
+    return salted_lookup(big, kept.hint("merge"), on, spread)
+
+
 def positions(
     df: DataFrame, group: Sequence[str], order: str = "seq", name: str = "pos", chunk: int = CHUNK
 ) -> DataFrame:

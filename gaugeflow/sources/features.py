@@ -11,7 +11,7 @@ from gaugeflow.functions import props
 from gaugeflow.functions.geo import position_to_wgs84
 from gaugeflow.functions.steps import step
 from gaugeflow.functions.values import after_last_slash
-from gaugeflow.operators.skew import keep_one, salted_lookup
+from gaugeflow.operators.skew import keep_one, measured_lookup
 
 # The process id form, and the links put into the property maps.
 PROCESS_ID = r"^(SPP\.[0-9]+\.[0-9A-Za-z]+\.[0-9]+\.([0-9]+))\.([0-9]+)\.([0-9]+)$"
@@ -246,17 +246,20 @@ def read_sampling_points(
         cols = [F.col("local_id").alias(key), F.col(id_col)]
         return frame.select(*cols, *([F.col("name").alias(name_col)] if name_col else []))
 
-    # One property, station or process may serve a large share of all points.
+    # One property, station or process may serve a large share of all points. Names are joined last, and an id's
+    # absence is kept beside it, so a caller that doesn't ask for the id doesn't carry it through the lookups after it.
     lookups = [
-        (parent(observed_properties, "op_local_id", "op_id", "op_name"), "op_local_id"),
-        (parent(sensors, "sensor_local_id", "sensor_id"), "sensor_local_id"),
-        (parent(things, "thing_local_id", "thing_id", "thing_name"), "thing_local_id"),
-        (parent(foi, "foi_local_id", "foi_id"), "foi_local_id"),
-        (existing.select("local_id", "uom"), "local_id"),
+        (existing.select("local_id", "uom"), "local_id", None),
+        (parent(foi, "foi_local_id", "foi_id"), "foi_local_id", "foi_id"),
+        (parent(sensors, "sensor_local_id", "sensor_id"), "sensor_local_id", "sensor_id"),
+        (parent(things, "thing_local_id", "thing_id", "thing_name"), "thing_local_id", "thing_id"),
+        (parent(observed_properties, "op_local_id", "op_id", "op_name"), "op_local_id", "op_id"),
     ]
     joined = points
-    for dimension, key in lookups:
-        joined = salted_lookup(joined, dimension, [key], spread="local_id")
+    for dimension, key, found in lookups:
+        joined = measured_lookup(joined, dimension, [key], "local_id", f"sampling-{key}")
+        if found:
+            joined = joined.withColumn(f"no_{found}", F.col(found).isNull())
     properties = {
         "owner": owner,
         "localId": F.col("local_id"),
@@ -267,9 +270,9 @@ def read_sampling_points(
         "featureOfInterestLocalId": F.col("foi_local_id"),
     }
     reject = (
-        F.when(F.col("op_id").isNull(), "ObservedProperty not found")
-        .when(F.col("sensor_id").isNull(), "Sensor not found")
-        .when(F.col("thing_id").isNull(), "Thing not found")
+        F.when(F.col("no_op_id"), "ObservedProperty not found")
+        .when(F.col("no_sensor_id"), "Sensor not found")
+        .when(F.col("no_thing_id"), "Thing not found")
     )
     return joined.select(
         "local_id",
@@ -279,7 +282,7 @@ def read_sampling_points(
         "sensor_id",
         "thing_id",
         "foi_id",
-        F.col("foi_id").isNull().alias("foi_missing"),
+        F.col("no_foi_id").alias("foi_missing"),
         "uom",
         props.build_map(properties).alias("properties"),
         reject.alias("reject"),

@@ -11,7 +11,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import convert, entities
+from gaugeflow.operators import convert, entities, skew
 from gaugeflow.operators.skew import SALTS, salted_lookup
 from gaugeflow.plans import service
 from gaugeflow.plans.catalog import sources
@@ -132,6 +132,41 @@ def test_elements_are_cut_once(spark):
     assert [(r["local_id"], r["reject"]) for r in checked.collect()][2:] == [(None, "Element without id"), ("4", "Unreadable element")]
 
 
+def test_points_meet_parents_that_are_large_in_rows_only(spark, tables, monkeypatch):
+    """Parents from compressed text are many rows in a small file: they are measured, and shuffled where they are large."""
+    xml = F.concat(F.lit('<a:AQD_Sample xmlns:a="urn:a" id="SAM.'), F.col("id").cast("string"), F.lit('"></a:AQD_Sample>'))
+    path = sources._write_text(spark, tables, "many-samples", spark.range(5000).select(xml.alias("value")).coalesce(1), dealt=True)
+    many = features.read_features(spark, path, "a:AQD_Sample", "_id string").select(F.col("_id").alias("local_id"))
+    foi = many.withColumn("foi_id", F.col("local_id"))
+    few = spark.createDataFrame([("1", "one"), ("SPP.1.A1.7.1", "two"), ("STA.1", "three")], "local_id string, name string")
+    dims = [few.select("local_id", F.col("local_id").alias(c), "name") for c in ("op_id", "sensor_id", "thing_id")]
+    existing = foi.select(F.concat(F.lit("P"), F.substring("local_id", 5, 9)).alias("local_id"), F.struct(F.lit("u").alias("name")).alias("uom"))
+    href = lambda name, value: f'<{name} a="1" xlink:href="x/{value}"/>'
+    texts = []
+    for point, (sample, prop, process, station) in {"P1": ("SAM.1", "1", "SPP.1.A1.7.1.1.1", "STA.1"), "P2": ("SAM.5000", "1", "SPP.1.A1.7.1.1.1", "STA.1"), "Q3": ("SAM.3", "2", "x", "y"), "P4": ("SAM.4", "1", "x", "y"), "P5": ("SAM.4", "1", "SPP.1.A1.7.1.1.1", "y")}.items():
+        capability = href("featureOfInterest", sample) + href("observedProperty", prop) + href("procedure", process)
+        texts.append((f'<p id="{point}"><operationalActivityPeriod><OperationalActivityPeriod><activityTime><TimePeriod><endPosition indeterminatePosition="unknown"/></TimePeriod></activityTime></OperationalActivityPeriod></operationalActivityPeriod><observingCapability><ObservingCapability>{capability}</ObservingCapability></observingCapability>{href("broader", station)}</p>'.replace("xlink:href", "href"),))
+    feats = spark.createDataFrame(texts, "x string").select(F.from_xml("x", features.SAMPLING_POINT).alias("f")).select("f.*")
+    for measured in (0, 32 << 20):
+        monkeypatch.setattr(skew, "MEASURED", measured)
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+        try:
+            out = features.read_sampling_points(feats, *dims, foi, existing)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert plan.count("SortMergeJoin") == (0 if measured else 2) and plan.count("BroadcastHashJoin") == (5 if measured else 3)
+        got = {r["local_id"]: (r["op_id"], r["sensor_id"], r["thing_id"], r["foi_id"], r["foi_missing"], r["uom"] and r["uom"]["name"], r["reject"], r["description"]) for r in out.collect()}
+        assert got == {
+            "P1": ("1", "SPP.1.A1.7.1", "STA.1", "SAM.1", False, "u", None, "one as three"),
+            "P2": ("1", "SPP.1.A1.7.1", "STA.1", None, True, "u", None, "one as three"),
+            "Q3": (None, None, None, "SAM.3", False, None, "ObservedProperty not found", None),
+            "P4": ("1", None, None, "SAM.4", False, "u", "Sensor not found", None),
+            "P5": ("1", "SPP.1.A1.7.1", None, "SAM.4", False, "u", "Thing not found", None),
+        }
+
+
 def test_service_parses_elements_once(spark, tables):
     """Rejects are read from the table the rows are read from."""
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")

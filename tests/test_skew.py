@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeflow.operators import skew
 from gaugeflow.operators.skew import keep_first, positions, salted_lookup
 from gaugeflow.operators.validate import batch_dedupe, find_duplicates, validate_by_time
 from gaugeflow.session import staging_path
@@ -142,3 +143,26 @@ def test_copies_of_a_lookup_count_in_its_size(spark):
     assert "BroadcastHashJoin" not in _limited(spark, 2 * size, make)
     assert "BroadcastHashJoin" in _limited(spark, 20 * size, make)
     assert sorted((r["seq"], r["v"]) for r in make().collect()) == [(i, i) for i in range(100)]
+
+
+def test_measured_lookup_is_not_sized_by_files(spark, monkeypatch):
+    """A table that is small in its compressed file and large in rows is shuffled; one small in both is broadcast once."""
+    path = staging_path(spark, "text")
+    spark.range(20000).select(F.concat(F.lit("x" * 200), "id").alias("value")).coalesce(1).write.option("compression", "gzip").text(path)
+    texts = spark.read.text(path).select(F.col("value").alias("key"), F.substring("value", 201, 9).cast("int").alias("v"))
+    size = int(str(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = 8 * size
+    assert limit < 20000 * 200
+    big = spark.range(50).select(F.concat(F.lit("x" * 200), F.col("id") * 1000).alias("key"), F.col("id").alias("seq"))
+    big = big.unionByName(spark.createDataFrame([(None, 50)], "key string, seq bigint"))
+    assert "BroadcastHashJoin" in _limited(spark, limit, lambda: salted_lookup(big, texts, ["key"]))
+    monkeypatch.setattr(skew, "MEASURED", 0)
+    found = lambda limit, small: _limited(spark, limit, lambda: skew.measured_lookup(big, small, ["key"], "seq", "texts"))
+    assert "BroadcastHashJoin" not in found(limit, texts) and "SortMergeJoin" in found(limit, texts)
+    few = texts.filter("v % 4000 = 0")
+    assert "BroadcastHashJoin" in found(limit, few) and "BroadcastHashJoin" not in found(-1, few)
+    for limit in (0, 1 << 30):
+        monkeypatch.setattr(skew, "MEASURED", limit)
+        rows = skew.measured_lookup(big, texts, ["key"], "seq", "texts").collect()
+        assert sorted((r["seq"], r["v"]) for r in rows if r["seq"] < 50) == [(i, i * 1000 if i < 20 else None) for i in range(50)]
+        assert [r["v"] for r in rows if r["seq"] == 50] == [None]
